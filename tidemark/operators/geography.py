@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import geo_source, in_bounds
-from tidemark.operators.quantiles import ROWS_IN_ONE_TASK, grouped_quantiles
+from tidemark.operators.quantiles import ROWS_IN_ONE_TASK, quantiles_by_running_totals, split_by_size
 from tidemark.operators.ranking import dominant
 
 LAT, LNG = "geolocation_lat", "geolocation_lng"
@@ -26,25 +26,31 @@ def bounds_report(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def _median_points(points: DataFrame, key: str, rows_in_one_task: int) -> DataFrame:
-    """Median latitude and longitude and the point count, per key.
+def _centroids(points: DataFrame, key: str, rows_in_one_task: int, with_state: bool) -> DataFrame:
+    """Median point, point count and (for zips) the most frequent state, per key.
 
-    Latitude and longitude are stacked into one long frame so that both medians come from a
-    single grouping.
+    One grouping for all keys that fit one task. A key with more points than that has its
+    medians read off running totals and its state counted per (key, state) first.
     """
-    axes = F.array(
-        F.struct(F.lit("lat").alias("axis"), F.col(LAT).alias("value")),
-        F.struct(F.lit("lng").alias("axis"), F.col(LNG).alias("value")),
-    )
-    medians = grouped_quantiles(
-        points.select(key, F.inline(axes)), [key, "axis"], "value", {"median": 0.5}, rows_in_one_task
-    )
-    both = medians.groupBy(key).agg(
-        F.max(F.when(F.col("axis") == "lat", F.col("median"))).alias("lat"),
-        F.max(F.when(F.col("axis") == "lng", F.col("median"))).alias("lng"),
-    )
-    counts = points.groupBy(key).agg(F.count("*").alias("n_points"))
-    return both.join(counts, key)
+    small, large = split_by_size(points, [key], rows_in_one_task)
+    facts = [
+        F.percentile(LAT, 0.5).alias("lat"),
+        F.percentile(LNG, 0.5).alias("lng"),
+        F.count("*").alias("n_points"),
+    ]
+    if with_state:
+        facts.append(F.mode("state", True).alias("state"))
+    out = small.groupBy(key).agg(*facts)
+    if large is None:
+        return out
+
+    lat = quantiles_by_running_totals(large, [key], LAT, {"lat": 0.5})
+    lng = quantiles_by_running_totals(large, [key], LNG, {"lng": 0.5})
+    counts = large.groupBy(key).agg(F.count("*").alias("n_points"))
+    hot = lat.join(lng, key).join(counts, key)
+    if with_state:
+        hot = hot.join(dominant(large, [key], "state", F.count("*"), "state"), key)
+    return out.unionByName(hot)
 
 
 def zip_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
@@ -55,19 +61,14 @@ def zip_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TA
         LAT,
         LNG,
     )
-    states = dominant(points, ["zip_code_prefix"], "state", F.count("*"), "state")
-    return (
-        _median_points(points, "zip_code_prefix", rows_in_one_task)
-        .join(states, "zip_code_prefix", "left")
-        .select("zip_code_prefix", "lat", "lng", "state", "n_points")
+    return _centroids(points, "zip_code_prefix", rows_in_one_task, True).select(
+        "zip_code_prefix", "lat", "lng", "state", "n_points"
     )
 
 
 def state_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
-    points = points_in_bounds(geolocation).select(
-        F.col("geolocation_state").alias("state"), LAT, LNG
-    )
-    return _median_points(points, "state", rows_in_one_task).select("state", "lat", "lng", "n_points")
+    points = points_in_bounds(geolocation).select(F.col("geolocation_state").alias("state"), LAT, LNG)
+    return _centroids(points, "state", rows_in_one_task, False).select("state", "lat", "lng", "n_points")
 
 
 def locate(

@@ -12,7 +12,7 @@ from tidemark.operators.geography import locate, state_centroids, zip_centroids
 from tidemark.operators.population import delivered_orders, is_late
 from tidemark.operators.rollups import order_rollup, payment_rollup
 from tidemark.settings import PURCHASED_AT, DateWindow
-from tidemark.sources.star import RawTables
+from tidemark.sources.tables import RawTables
 
 # Column order of the published table.
 ANALYTICAL_COLUMNS = (

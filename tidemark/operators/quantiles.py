@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import running_totals
+from tidemark.session import materialize
 
 #: Largest group the built-in ``percentile`` may hold in one task. Its buffer keeps every distinct
 #: value of the group; beyond this the group's order statistics are found by running totals.
@@ -21,7 +22,7 @@ def _interpolated(probability: float, n: Column) -> tuple[Column, Column, Column
     return low, F.ceil(position), position - low
 
 
-def _by_running_totals(
+def quantiles_by_running_totals(
     df: DataFrame, groups: Sequence[str], value: str, probabilities: Mapping[str, float]
 ) -> DataFrame:
     """Order statistics read off the running count of (group, value) pairs."""
@@ -53,6 +54,20 @@ def _by_running_totals(
     )
 
 
+def split_by_size(
+    df: DataFrame, groups: Sequence[str], rows_in_one_task: int = ROWS_IN_ONE_TASK
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups one task can hold, and rows of larger groups (usually none).
+
+    Counting the groups is one pass over the group columns, reduced before its shuffle.
+    """
+    large = df.groupBy(*groups).count().where(F.col("count") > rows_in_one_task).drop("count")
+    if large.isEmpty():
+        return df, None
+    large = materialize(large)
+    return df.join(large, list(groups), "left_anti"), df.join(large, list(groups), "left_semi")
+
+
 def grouped_quantiles(
     df: DataFrame,
     groups: Sequence[str],
@@ -60,19 +75,13 @@ def grouped_quantiles(
     probabilities: Mapping[str, float],
     rows_in_one_task: int = ROWS_IN_ONE_TASK,
 ) -> DataFrame:
-    """Quantiles of ``value`` per group (at least one group column); empty groups are absent.
-
-    One extra pass over the group columns finds groups too large for one task. There usually are
-    none and the built-in aggregate does everything; the rest takes the running-total path.
-    """
+    """Quantiles of ``value`` per group (at least one group column); empty groups are absent."""
     rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias(value))
-    large = rows.groupBy(*groups).count().where(F.col("count") > rows_in_one_task).drop("count")
-    built_in = [F.percentile(value, float(p)).alias(n) for n, p in probabilities.items()]
-    if large.isEmpty():
-        return rows.groupBy(*groups).agg(*built_in)
-    hot = _by_running_totals(rows.join(large, list(groups), "left_semi"), groups, value, probabilities)
-    cold = rows.join(large, list(groups), "left_anti").groupBy(*groups).agg(*built_in)
-    return cold.unionByName(hot)
+    cold, hot = split_by_size(rows, groups, rows_in_one_task)
+    out = cold.groupBy(*groups).agg(*[F.percentile(value, float(p)).alias(n) for n, p in probabilities.items()])
+    if hot is None:
+        return out
+    return out.unionByName(quantilesquantiles_by_running_totals(hot, groups, value, probabilities))
 
 
 def column_quantiles(
@@ -91,6 +100,6 @@ def column_quantiles(
     for probability in sorted(set(wanted.values())):
         names = [c for c in columns if wanted[c] == probability]
         part = long.where(F.col("column").isin(names))
-        for row in _by_running_totals(part, ["column"], "value", {"q": probability}).collect():
+        for row in quantiles_by_running_totals(part, ["column"], "value", {"q": probability}).collect():
             out[row["column"]] = row["q"]
     return out

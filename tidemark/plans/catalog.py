@@ -27,7 +27,7 @@ from tidemark.plans.oracle import NUMERIC, sql_for
 from tidemark.plans.portable import portable
 from tidemark.session import configure, materialize
 from tidemark.settings import ENTITIES, GATE, LEVELS, PURCHASED_AT, STAR
-from tidemark.sources.star import STAR_REGIONS, RawTables, star_tables
+from tidemark.sources.star import STAR_REGIONS, StarTables
 
 
 class Stage:
@@ -44,8 +44,8 @@ class Stage:
         self.calibrate = STAR.version("v1").calibrate
 
     @cached_property
-    def raw(self) -> RawTables:
-        return star_tables(self.spark, self.directory)
+    def raw(self) -> StarTables:
+        return StarTables(self.spark, self.directory)
 
     @cached_property
     def plan_analytical(self) -> DataFrame:

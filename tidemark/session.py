@@ -37,6 +37,8 @@ def local_session(app: str = "tidemark", cores: int | str = "*", partitions: int
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Recording the Python line of every column expression costs more than planning it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     return configure(builder.getOrCreate())

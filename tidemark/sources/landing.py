@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.contract import repeated_keys
 from tidemark.sources.publish import publish_all, read_published
-from tidemark.sources.star import RawTables
+from tidemark.sources.tables import RawTables
 
 TEXT, NTZ, INT = T.StringType(), T.TimestampNTZType(), T.IntegerType()
 DOUBLE, MONEY = T.DoubleType(), T.DecimalType(10, 2)
@@ -152,6 +152,19 @@ SPECS = (
 
 SPEC_BY_NAME = {spec.name: spec for spec in SPECS}
 
+#: Attribute of the raw-table set -> table it is landed as.
+ATTRIBUTES = {
+    "orders": "orders",
+    "customers": "customers",
+    "items": "order_items",
+    "payments": "order_payments",
+    "reviews": "order_reviews",
+    "products": "products",
+    "sellers": "sellers",
+    "geolocation": "geolocation",
+    "translation": "product_category_name_translation",
+}
+
 
 class LandingError(ValueError):
     """A raw file or table is not what its spec declares."""
@@ -247,16 +260,9 @@ def land(spark: SparkSession, directory: str, root: str, **naming) -> DataFrame:
     return spark.createDataFrame(report, "table string, read bigint, inserted bigint")
 
 
-def landed_tables(spark: SparkSession, root: str) -> RawTables:
-    tables = {spec.name: read_published(spark, root, spec.name) for spec in SPECS}
-    return RawTables(
-        orders=tables["orders"],
-        customers=tables["customers"],
-        items=tables["order_items"],
-        payments=tables["order_payments"],
-        reviews=tables["order_reviews"],
-        products=tables["products"],
-        sellers=tables["sellers"],
-        geolocation=tables["geolocation"],
-        translation=tables["product_category_name_translation"],
-    )
+class LandedTables(RawTables):
+    """The raw tables as last landed under a root folder."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        for attribute, table in ATTRIBUTES.items():
+            setattr(self, attribute, read_published(spark, root, table))

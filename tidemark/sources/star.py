@@ -7,58 +7,16 @@ made up beside them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.timing import ntz
-
-KEY_WIDTH = 12
+from tidemark.sources.tables import RawTables
 
 #: Nation names of the star tables to their region names: nation k belongs to region k mod 5.
 STAR_REGION_NAMES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 STAR_REGIONS = {f"NATION_{k}": STAR_REGION_NAMES[k % 5] for k in range(25)}
 
-
-@dataclass(frozen=True)
-class RawTables:
-    """The nine raw tables every later step reads."""
-
-    orders: DataFrame
-    customers: DataFrame
-    items: DataFrame
-    payments: DataFrame
-    reviews: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    geolocation: DataFrame
-    translation: DataFrame
-
-
-def _ident(key: str | Column) -> Column:
-    col = F.col(key) if isinstance(key, str) else key
-    return F.lpad(col.cast("string"), KEY_WIDTH, "0")
-
-
-def _zip(key: str) -> Column:
-    return F.lpad((F.col(key) % 997 * 97).cast("string"), 5, "0")
-
-
-def _money(col: Column) -> Column:
-    return col.cast("decimal(10,2)")
-
-
-def _purchase() -> Column:
-    hours = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
-    return F.timestamp_add("MINUTE", (F.col("o_custkey") % 60).cast("int"), hours)
-
-
-def _delivery_days() -> Column:
-    slow = F.when(F.col("o_custkey") % 9 == 0, 14).otherwise(0)
-    return 3 + (F.col("o_orderkey") * 31 + F.col("o_custkey") * 17) % 15 + slow
-
-
 #: Declared columns of the star tables; declaring them spares a schema-inference job per read.
 STAR_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -74,196 +32,175 @@ STAR_SCHEMAS = {
 }
 
 
-def star_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{directory}/{name}.parquet")
-
-
-def star_orders(spark: SparkSession, directory: str) -> DataFrame:
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    purchase = _purchase()
-    delivered = F.timestamp_add(
-        "HOUR",
-        (key % 7).cast("int"),
-        F.timestamp_add("DAY", _delivery_days().cast("int"), purchase),
-    )
-    carrier = (
-        F.when(key % 101 == 0, F.lit(None))
-        .when(key % 89 == 0, F.timestamp_add("DAY", F.lit(-2), purchase))
-        .otherwise(F.timestamp_add("DAY", (1 + key % 2).cast("int"), purchase))
-    )
-    return star_table(spark, directory, "orders").select(
-        _ident("o_orderkey").alias("order_id"),
-        _ident("o_custkey").alias("customer_id"),
-        F.when((F.col("o_orderstatus") == "P") & (key % 3 == 0), "canceled")
-        .otherwise("delivered")
-        .alias("order_status"),
-        purchase.alias("order_purchase_timestamp"),
-        F.timestamp_add("HOUR", F.lit(1), purchase).alias("order_approved_at"),
-        carrier.alias("order_delivered_carrier_date"),
-        F.when(key % 97 != 0, delivered).alias("order_delivered_customer_date"),
-        F.timestamp_add("DAY", (16 + (key * 13 + 7) % 15).cast("int"), F.col("o_orderdate")).alias(
-            "order_estimated_delivery_date"
-        ),
-    )
-
-
-def star_items(spark: SparkSession, directory: str) -> DataFrame:
-    lines = star_table(spark, directory, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity"
-    )
-    heads = star_table(spark, directory, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), _purchase().alias("purchase")
-    )
-    return lines.join(heads, "l_orderkey").select(
-        _ident("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _ident("l_partkey").alias("product_id"),
-        _ident("l_suppkey").alias("seller_id"),
-        F.timestamp_add("DAY", (2 + F.col("l_linenumber") % 6).cast("int"), F.col("purchase")).alias(
-            "shipping_limit_date"
-        ),
-        _money(F.col("l_extendedprice")).alias("price"),
-        _money(F.col("l_quantity")).alias("freight_value"),
-    )
-
-
-def star_products(spark: SparkSession, directory: str) -> DataFrame:
-    size, key = F.col("p_size"), F.col("p_partkey")
-    described = key % 50 != 0
-
-    def known(value: Column) -> Column:
-        return F.when(described, value.cast("int"))
-
-    return star_table(spark, directory, "part").select(
-        _ident("p_partkey").alias("product_id"),
-        F.when(described, F.concat_ws("/", "p_brand", "p_type")).alias("product_category_name"),
-        known(F.length("p_name")).alias("product_name_lenght"),
-        known(F.length("p_name") * 10).alias("product_description_lenght"),
-        known(1 + key % 4).alias("product_photos_qty"),
-        known(size * 100).alias("product_weight_g"),
-        known(10 + size).alias("product_length_cm"),
-        known(5 + key % 30).alias("product_height_cm"),
-        known(8 + key % 17).alias("product_width_cm"),
-    )
-
-
-def star_translation(spark: SparkSession, directory: str) -> DataFrame:
-    """Most categories have a translation; brands ending in 5 have none."""
-    category = F.concat_ws("/", "p_brand", "p_type")
-    return (
-        star_table(spark, directory, "part")
-        .where(~F.col("p_brand").endswith("5"))
-        .select(category.alias("product_category_name"))
-        .distinct()
-        .withColumn(
-            "product_category_name_english", F.lower(F.translate("product_category_name", "#/", "__"))
+# Derived facts, as SQL expressions over the star columns.
+PURCHASE = (
+    "timestampadd(MINUTE, cast(o_custkey % 60 as int), timestampadd(HOUR, cast(o_orderkey % 24 as int), o_orderdate))"
+)
+DELIVERY = "(3 + (o_orderkey * 31 + o_custkey * 17) % 15 + if(o_custkey % 9 = 0, 14, 0))"
+
+
+def ident(key: str) -> str:
+    return f"lpad(cast({key} as string), 12, '0')"
+
+
+def zip_text(number: str) -> str:
+    return f"lpad(cast({number} * 97 as string), 5, '0')"
+
+
+class StarTables(RawTables):
+    """The nine raw tables, derived from a star-schema directory on first use."""
+
+    def __init__(self, spark: SparkSession, directory: str) -> None:
+        self.spark = spark
+        self.directory = directory
+
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.directory}/{name}.parquet")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return (
+            self._table("orders")
+            .selectExpr("*", f"{PURCHASE} as purchase", f"{DELIVERY} as delivery")
+            .selectExpr(
+                f"{ident('o_orderkey')} as order_id",
+                f"{ident('o_custkey')} as customer_id",
+                "if(o_orderstatus = 'P' and o_orderkey % 3 = 0, 'canceled', 'delivered') as order_status",
+                "purchase as order_purchase_timestamp",
+                "timestampadd(HOUR, 1, purchase) as order_approved_at",
+                """case when o_orderkey % 101 = 0 then null
+                        when o_orderkey % 89 = 0 then timestampadd(DAY, -2, purchase)
+                        else timestampadd(DAY, cast(1 + o_orderkey % 2 as int), purchase)
+                   end as order_delivered_carrier_date""",
+                """if(o_orderkey % 97 = 0, null,
+                      timestampadd(HOUR, cast(o_orderkey % 7 as int),
+                                   timestampadd(DAY, cast(delivery as int), purchase))
+                   ) as order_delivered_customer_date""",
+                """timestampadd(DAY, cast(16 + (o_orderkey * 13 + 7) % 15 as int), o_orderdate)
+                   as order_estimated_delivery_date""",
+            )
         )
-    )
-
-
-def _nation_names(spark: SparkSession, directory: str) -> DataFrame:
-    return star_table(spark, directory, "nation").select("n_nationkey", "n_name")
-
-
-def star_customers(spark: SparkSession, directory: str) -> DataFrame:
-    customers = star_table(spark, directory, "customer").select("c_custkey", "c_nationkey")
-    joined = customers.join(
-        _nation_names(spark, directory), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    return joined.select(
-        _ident("c_custkey").alias("customer_id"),
-        F.concat(F.lit("u"), _ident("c_custkey")).alias("customer_unique_id"),
-        _zip("c_custkey").alias("customer_zip_code_prefix"),
-        F.lower("n_name").alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
-    )
-
-
-def star_sellers(spark: SparkSession, directory: str) -> DataFrame:
-    suppliers = star_table(spark, directory, "supplier").select("s_suppkey", "s_nationkey")
-    joined = suppliers.join(
-        _nation_names(spark, directory), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    return joined.select(
-        _ident("s_suppkey").alias("seller_id"),
-        _zip("s_suppkey").alias("seller_zip_code_prefix"),
-        F.lower("n_name").alias("seller_city"),
-        F.col("n_name").alias("seller_state"),
-    )
-
-
-def star_payments(spark: SparkSession, directory: str) -> DataFrame:
-    """One to three payments per order, all from the order's own key and total."""
-    orders = star_table(spark, directory, "orders").select("o_orderkey", "o_totalprice")
-    seq = F.explode(F.sequence(F.lit(1), (1 + F.col("o_orderkey") % 3).cast("int")))
-    kinds = F.array(*[F.lit(k) for k in ("boleto", "credit_card", "debit_card", "voucher")])
-    spread = orders.withColumn("seq", seq)
-    turn = F.col("o_orderkey") + F.col("seq")
-    return spread.select(
-        _ident("o_orderkey").alias("order_id"),
-        F.col("seq").alias("payment_sequential"),
-        F.element_at(kinds, (turn % 4 + 1).cast("int")).alias("payment_type"),
-        (turn % 25).cast("int").alias("payment_installments"),
-        F.when(F.col("seq") == 1, _money(F.col("o_totalprice")))
-        .otherwise(_money(F.col("seq") * 10))
-        .alias("payment_value"),
-    )
 
+    @cached_property
+    def items(self) -> DataFrame:
+        lines = self._table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity"
+        )
+        heads = self._table("orders").selectExpr("o_orderkey as l_orderkey", f"{PURCHASE} as purchase")
+        return lines.join(heads, "l_orderkey").selectExpr(
+            f"{ident('l_orderkey')} as order_id",
+            "l_linenumber as order_item_id",
+            f"{ident('l_partkey')} as product_id",
+            f"{ident('l_suppkey')} as seller_id",
+            "timestampadd(DAY, 2 + l_linenumber % 6, purchase) as shipping_limit_date",
+            "cast(l_extendedprice as decimal(10,2)) as price",
+            "cast(l_quantity as decimal(10,2)) as freight_value",
+        )
 
-def star_reviews(spark: SparkSession, directory: str) -> DataFrame:
-    orders = star_table(spark, directory, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    copies = F.when(F.col("o_orderkey") % 10 == 0, 2).otherwise(1)
-    spread = (
-        orders.where(F.col("o_orderkey") % 40 != 1)
-        .withColumn("delivery", _delivery_days())
-        .withColumn("seq", F.explode(F.sequence(F.lit(0), copies - 1)))
-    )
-    created = F.timestamp_add("DAY", F.col("delivery").cast("int"), F.col("o_orderdate"))
-    return spread.select(
-        F.concat(_ident("o_orderkey"), F.lit("-"), F.col("seq").cast("string")).alias("review_id"),
-        _ident("o_orderkey").alias("order_id"),
-        (1 + (F.col("o_orderkey") + F.col("delivery") + F.col("seq")) % 5).cast("int").alias("review_score"),
-        F.lit(None).cast("string").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment_message"),
-        created.alias("review_creation_date"),
-        F.timestamp_add("DAY", F.lit(1), created).alias("review_answer_timestamp"),
-    )
+    @cached_property
+    def products(self) -> DataFrame:
+        """Every fiftieth product is undescribed."""
+
+        def known(value: str, name: str) -> str:
+            return f"if(p_partkey % 50 = 0, null, {value}) as {name}"
+
+        return self._table("part").selectExpr(
+            f"{ident('p_partkey')} as product_id",
+            known("p_brand || '/' || p_type", "product_category_name"),
+            known("length(p_name)", "product_name_lenght"),
+            known("length(p_name) * 10", "product_description_lenght"),
+            known("cast(1 + p_partkey % 4 as int)", "product_photos_qty"),
+            known("p_size * 100", "product_weight_g"),
+            known("10 + p_size", "product_length_cm"),
+            known("cast(5 + p_partkey % 30 as int)", "product_height_cm"),
+            known("cast(8 + p_partkey % 17 as int)", "product_width_cm"),
+        )
 
+    @cached_property
+    def translation(self) -> DataFrame:
+        """Most categories have a translation; brands ending in 5 have none."""
+        return (
+            self._table("part")
+            .where("p_brand not like '%5'")
+            .selectExpr("p_brand || '/' || p_type as product_category_name")
+            .distinct()
+            .selectExpr(
+                "product_category_name",
+                "lower(translate(product_category_name, '#/', '__')) as product_category_name_english",
+            )
+        )
 
-def star_geolocation(spark: SparkSession, directory: str) -> DataFrame:
-    """Three points per customer; some prefixes have none, some stray out of bounds."""
-    customers = star_table(spark, directory, "customer").select("c_custkey", "c_nationkey")
-    zip_number = F.col("c_custkey") % 997
-    points = (
-        customers.join(_nation_names(spark, directory), F.col("c_nationkey") == F.col("n_nationkey"))
-        .where(zip_number % 50 != 0)
-        .withColumn("j", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    )
-    lat = F.when((zip_number % 61 == 0) & (F.col("j") >= 1), F.lit(41.0)).otherwise(
-        -30 + zip_number % 35 + 0.25 * F.col("j").cast("double")
-    )
-    return points.select(
-        _zip("c_custkey").alias("geolocation_zip_code_prefix"),
-        lat.cast("double").alias("geolocation_lat"),
-        (-70 + zip_number % 40 + 0.25 * F.col("j").cast("double")).cast("double").alias("geolocation_lng"),
-        F.lower("n_name").alias("geolocation_city"),
-        F.col("n_name").alias("geolocation_state"),
-    )
+    def _with_nation(self, table: str, nation_key: str) -> DataFrame:
+        nations = self._table("nation").selectExpr(f"n_nationkey as {nation_key}", "n_name")
+        return self._table(table).join(nations, nation_key)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._with_nation("customer", "c_nationkey").selectExpr(
+            f"{ident('c_custkey')} as customer_id",
+            f"'u' || {ident('c_custkey')} as customer_unique_id",
+            f"{zip_text('c_custkey % 997')} as customer_zip_code_prefix",
+            "lower(n_name) as customer_city",
+            "n_name as customer_state",
+        )
 
+    @cached_property
+    def sellers(self) -> DataFrame:
+        return self._with_nation("supplier", "s_nationkey").selectExpr(
+            f"{ident('s_suppkey')} as seller_id",
+            f"{zip_text('s_suppkey % 997')} as seller_zip_code_prefix",
+            "lower(n_name) as seller_city",
+            "n_name as seller_state",
+        )
 
-def star_tables(spark: SparkSession, directory: str) -> RawTables:
-    """All nine tables, lazily."""
-    return RawTables(
-        orders=star_orders(spark, directory),
-        customers=star_customers(spark, directory),
-        items=star_items(spark, directory),
-        payments=star_payments(spark, directory),
-        reviews=star_reviews(spark, directory),
-        products=star_products(spark, directory),
-        sellers=star_sellers(spark, directory),
-        geolocation=star_geolocation(spark, directory),
-        translation=star_translation(spark, directory),
-    )
+    @cached_property
+    def payments(self) -> DataFrame:
+        """One to three payments per order, all from the order's own key and total."""
+        spread = self._table("orders").selectExpr(
+            "o_orderkey", "o_totalprice", "explode(sequence(1, cast(1 + o_orderkey % 3 as int))) as seq"
+        )
+        return spread.selectExpr(
+            f"{ident('o_orderkey')} as order_id",
+            "seq as payment_sequential",
+            """element_at(array('boleto', 'credit_card', 'debit_card', 'voucher'),
+                          cast((o_orderkey + seq) % 4 + 1 as int)) as payment_type""",
+            "cast((o_orderkey + seq) % 25 as int) as payment_installments",
+            "cast(if(seq = 1, o_totalprice, seq * 10) as decimal(10,2)) as payment_value",
+        )
 
+    @cached_property
+    def reviews(self) -> DataFrame:
+        """One review for most orders, two for every tenth, none for a few."""
+        spread = (
+            self._table("orders")
+            .where("o_orderkey % 40 <> 1")
+            .selectExpr(
+                "o_orderkey",
+                "o_orderdate",
+                f"{DELIVERY} as delivery",
+                "explode(sequence(0, if(o_orderkey % 10 = 0, 1, 0))) as seq",
+            )
+        )
+        return spread.selectExpr(
+            f"{ident('o_orderkey')} || '-' || seq as review_id",
+            f"{ident('o_orderkey')} as order_id",
+            "cast(1 + (o_orderkey + delivery + seq) % 5 as int) as review_score",
+            "cast(null as string) as review_comment_title",
+            "cast(null as string) as review_comment_message",
+            "timestampadd(DAY, cast(delivery as int), o_orderdate) as review_creation_date",
+            "timestampadd(DAY, cast(delivery + 1 as int), o_orderdate) as review_answer_timestamp",
+        )
 
-__all__ = ["RawTables", "STAR_REGIONS", "ntz", "star_table", "star_tables"]
+    @cached_property
+    def geolocation(self) -> DataFrame:
+        """Three points per customer; some prefixes have none, some stray out of bounds."""
+        points = self._with_nation("customer", "c_nationkey").selectExpr(
+            "c_custkey % 997 as z", "n_name", "explode(array(0, 1, 2)) as j"
+        )
+        return points.where("z % 50 <> 0").selectExpr(
+            f"{zip_text('z')} as geolocation_zip_code_prefix",
+            "if(z % 61 = 0 and j >= 1, 41d, -30d + z % 35 + 0.25d * j) as geolocation_lat",
+            "-70d + z % 40 + 0.25d * j as geolocation_lng",
+            "lower(n_name) as geolocation_city",
+            "n_name as geolocation_state",
+        )
