@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import dominant
 
-#: Sums stay in a 64-bit unscaled decimal, wide enough for an order of any real size.
+#: Sums are published with 18 digits, which still fit a 64-bit unscaled value.
 MONEY = "decimal(18,2)"
 
+
+def cents(column: str) -> Column:
+    """Money as whole cents: exact, and summed as a plain 64-bit integer."""
+    return (F.col(column) * F.lit(100)).cast("bigint")
+
+
+def money(total: Column) -> Column:
+    return (total.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+
 PRODUCT, SELLER, STATE, CATEGORY = range(4)
 
 
@@ -24,7 +33,12 @@ def item_volume() -> Column:
 def priced_items(items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Items with the product and seller facts the rollup needs."""
     return items.select(
-        "order_id", "product_id", "seller_id", "price", "freight_value", "shipping_limit_date"
+        "order_id",
+        "product_id",
+        "seller_id",
+        cents("price").alias("price"),
+        cents("freight_value").alias("freight_value"),
+        "shipping_limit_date",
     ).join(
         products.select(
             "product_id",
@@ -88,9 +102,9 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
         members_of(PRODUCT).alias("n_distinct_products"),
         members_of(SELLER).alias("n_distinct_sellers"),
         members_of(STATE).alias("n_seller_states"),
-        F.sum(F.when(once, F.col("price"))).cast(MONEY).alias("total_price"),
-        F.max("max_price").alias("max_price"),
-        F.sum("freight").cast(MONEY).alias("total_freight"),
+        money(F.sum(F.when(once, F.col("price")))).alias("total_price"),
+        money(F.max("max_price")).cast("decimal(10,2)").alias("max_price"),
+        money(F.sum("freight")).alias("total_freight"),
         F.sum("weight").alias("total_weight_g"),
         F.sum("volume").alias("total_volume_cm3"),
         F.max("max_weight").alias("max_item_weight_g"),
@@ -104,19 +118,20 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
 def payment_rollup(payments: DataFrame) -> DataFrame:
     """Instalments, value, method count and dominant method per order, in one payment scan."""
     kinds = payments.groupBy("order_id", "payment_type").agg(
-        F.sum("payment_value").alias("value"), F.max("payment_installments").alias("installments")
+        F.sum(cents("payment_value")).alias("value"),
+        F.max("payment_installments").alias("installments"),
     )
     pick = F.struct((-F.col("value")).alias("w"), F.col("payment_type").alias("m"))
     return kinds.groupBy("order_id").agg(
         F.min(pick)["m"].alias("dominant_payment_type"),
         F.max("installments").cast("int").alias("max_installments"),
-        F.sum("value").cast(MONEY).alias("total_payment_value"),
+        money(F.sum("value")).alias("total_payment_value"),
         F.count("payment_type").cast("int").alias("n_payment_methods"),
     )
 
 
 def dominant_seller(items: DataFrame) -> DataFrame:
-    return dominant(items, ["order_id"], "seller_id", F.sum("price"), "seller_id")
+    return dominant(items, ["order_id"], "seller_id", F.sum(cents("price")), "seller_id")
 
 
 def dominant_category(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -125,13 +140,13 @@ def dominant_category(items: DataFrame, products: DataFrame) -> DataFrame:
         items.select("order_id", "product_id", "price").join(categories, "product_id"),
         ["order_id"],
         "category",
-        F.sum("price"),
+        F.sum(cents("price")),
         "dominant_category",
     )
 
 
 def dominant_payment(payments: DataFrame) -> DataFrame:
-    return dominant(payments, ["order_id"], "payment_type", F.sum("payment_value"), "dominant_payment_type")
+    return dominant(payments, ["order_id"], "payment_type", F.sum(cents("payment_value")), "dominant_payment_type")
 
 
 def mean_review(reviews: DataFrame) -> DataFrame:

@@ -725,7 +725,7 @@ def serving_matrix(s: Stage) -> DataFrame:
        UNION ALL SELECT 'customer_state', customer_state, count(*) FROM t_analytical WHERE customer_state NOT IN (SELECT customer_state FROM t_fit) GROUP BY 2""",
 )
 def unseen_categories(s: Stage) -> DataFrame:
-    from tidemark.streaming.scoring import raw_sources
+    from tidemark.operators.scoring import raw_sources
 
     matrix = s.preprocessor.transform_latest(raw_sources(s.analytical), [f"raw_{c}" for c in sorted(set(features.CATEGORICAL_SOURCES.values()))])
     return profile.unseen_categories(matrix)

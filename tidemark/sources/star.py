@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import spread
 from tidemark.sources.tables import RawTables
 
 #: Nation names of the star tables to their region names: nation k belongs to region k mod 5.
@@ -83,8 +84,10 @@ class StarTables(RawTables):
 
     @cached_property
     def items(self) -> DataFrame:
-        lines = self._table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity"
+        lines = spread(
+            self._table("lineitem").select(
+                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity"
+            )
         )
         heads = self._table("orders").selectExpr("o_orderkey as l_orderkey", f"{PURCHASE} as purchase")
         return lines.join(heads, "l_orderkey").selectExpr(
