@@ -160,7 +160,7 @@ NULLABLE_COLUMNS = frozenset(
 )
 
 
-def value_rules() -> list[Rule]:
+def value_rules(max_distance_km: float) -> list[Rule]:
     return [
         between("promised_days", 1, 365),
         between("n_items", 1, 50),
@@ -184,7 +184,7 @@ def value_rules() -> list[Rule]:
         between("seller_lng", LNG_MIN, LNG_MAX),
         one_of("customer_geo_source", "zip", "state", "none"),
         one_of("seller_geo_source", "zip", "state", "none"),
-        between("customer_seller_distance_km", 0.0, 5000.0),
+        between("customer_seller_distance_km", 0.0, max_distance_km),
         length_is("customer_zip_code_prefix", 5),
         length_is("seller_zip_code_prefix", 5),
     ]
@@ -216,14 +216,20 @@ def invariants() -> list[Rule]:
     ]
 
 
-def analytical_contract(two_letter_states: bool = True) -> Contract:
+def analytical_contract(two_letter_states: bool = True, max_distance_km: float = 5000.0) -> Contract:
+    """The contract of one country's orders: its state codes and its longest distance."""
     rules = [not_null(c) for c in ANALYTICAL_COLUMNS if c not in NULLABLE_COLUMNS]
-    rules += value_rules() + invariants()
+    rules += value_rules(max_distance_km) + invariants()
     if two_letter_states:
         rules += two_letter_state_rules()
     return Contract(ANALYTICAL_COLUMNS, ("order_id",), tuple(rules), rate_column="is_late")
 
 
+def star_contract() -> Contract:
+    """The same contract for the star tables, whose points spread wider and whose states are names."""
+    return analytical_contract(two_letter_states=False, max_distance_km=6000.0)
+
+
 def outcome_rules() -> list[Rule]:
     return [
         not_null("order_id"),

@@ -19,6 +19,7 @@ from tidemark.operators.learning import calibrate
 from tidemark.operators.metrics import SCORE
 from tidemark.operators.preprocessing import PreprocessingModel
 from tidemark.operators.profile import unseen_categories
+from tidemark.session import materialize
 
 # Columns of a prediction.
 OUTPUT_COLUMNS = ("probability", "is_late_predicted", "threshold")
@@ -150,7 +151,7 @@ class ScoringModel:
     def predict_with_report(self, records: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
         """Predictions and the unseen-category table, both from one transform."""
         require_raw_inputs(records)
-        matrix = self._matrix(records, keep)
+        matrix = materialize(self._matrix(records, keep))
         return self._decide(matrix, keep), unseen_categories(matrix)
 
     def describe(self) -> dict:

@@ -337,7 +337,7 @@ def resolved_history(s: Stage) -> DataFrame:
 )
 def contract_violations(s: Stage) -> DataFrame:
     """The published rules, which hold, plus four that some rows must break."""
-    declared = contract.analytical_contract(two_letter_states=False)
+    declared = contract.star_contract()
     tight = (
         contract.Rule("length_5x", "route", F.length("route") == 20),
         contract.between("customer_seller_distance_km", 0.0, 3000.0),
