@@ -6,15 +6,28 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import haversine_km
-from tidemark.functions.timing import month_start, whole_days
-from tidemark.operators import asof, contract, decision, explain, features, metrics, population
-from tidemark.operators import profile, reconcile, rollups, splits
+from tidemark.functions.timing import whole_days
+from tidemark.operators import (
+    asof,
+    contract,
+    decision,
+    explain,
+    features,
+    learning,
+    metrics,
+    population,
+    profile,
+    reconcile,
+    rollups,
+    scoring,
+    splits,
+)
 from tidemark.operators.geography import bounds_report, state_centroids, zip_centroids
-from tidemark.operators.orders import ANALYTICAL_COLUMNS, located_customers, located_sellers, orders_analytical
+from tidemark.operators.orders import located_customers, located_sellers, orders_analytical
 from tidemark.operators.preprocessing import (
     HistoryPreprocessor,
     PreprocessingModel,
@@ -25,7 +38,7 @@ from tidemark.operators.preprocessing import (
 from tidemark.operators.ranking import global_rank
 from tidemark.plans.oracle import NUMERIC, sql_for
 from tidemark.plans.portable import portable
-from tidemark.session import configure, materialize
+from tidemark.session import configure, materialize, scratch_folder
 from tidemark.settings import ENTITIES, GATE, LEVELS, PURCHASED_AT, STAR
 from tidemark.sources.star import STAR_REGIONS, StarTables
 
@@ -725,9 +738,7 @@ def serving_matrix(s: Stage) -> DataFrame:
        UNION ALL SELECT 'customer_state', customer_state, count(*) FROM t_analytical WHERE customer_state NOT IN (SELECT customer_state FROM t_fit) GROUP BY 2""",
 )
 def unseen_categories(s: Stage) -> DataFrame:
-    from tidemark.operators.scoring import raw_sources
-
-    matrix = s.preprocessor.transform_latest(raw_sources(s.analytical), [f"raw_{c}" for c in sorted(set(features.CATEGORICAL_SOURCES.values()))])
+    matrix = s.preprocessor.transform_latest(scoring.raw_sources(s.analytical), scoring.RAW_SOURCE_COLUMNS)
     return profile.unseen_categories(matrix)
 
 
@@ -1082,12 +1093,191 @@ def leakage_alarms(s: Stage) -> DataFrame:
     return explain.leakage_alarms(mean_abs_attribution(s))
 
 
+# --- files and routing ---------------------------------------------------------------------------
+
+
+@query(
+    "table:s read:i inserted:i differing:i",
+    """SELECT 'orders' AS "table", count(*) AS read, count(*) AS inserted, 0 AS differing FROM t_orders
+       UNION ALL SELECT 'order_payments', count(*), count(*), 0 FROM t_payments
+       UNION ALL SELECT 'products', count(*), count(*), 0 FROM t_products""",
+)
+def csv_roundtrip(s: Stage) -> DataFrame:
+    """Tables written as CSV, scanned under their declared schema, landed, and reconciled."""
+    from functools import reduce
+
+    from tidemark.sources.landing import SPEC_BY_NAME, scan_csv
+    from tidemark.sources.publish import publish_all
+
+    folder = scratch_folder(s.spark)
+    frames = {"orders": s.raw.orders, "order_payments": s.raw.payments, "products": s.raw.products}
+    reports = []
+    for name, df in frames.items():
+        spec = SPEC_BY_NAME[name]
+        df.select(*spec.names).write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{folder}/csv/{name}")
+        scan = scan_csv(s.spark, spec, f"{folder}/csv/{name}")
+        landed = publish_all(s.spark, f"{folder}/landed", {name: scan})[name]
+        values = [c for c in spec.names if c not in spec.key]
+        rows = reconcile.reconciliation(df, landed, spec.key, dict.fromkeys(values))
+        reports.append(
+            rows.select(
+                F.lit(name).alias("table"),
+                scan.agg(F.count("*")).scalar().alias("read"),
+                landed.agg(F.count("*")).scalar().alias("inserted"),
+                "differing",
+            )
+        )
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query(
+    "reasons:s records:i",
+    """SELECT concat_ws(',', CASE WHEN length(customer_state) > 8 THEN 'customer_state:length_1_8' END,
+                            CASE WHEN length(seller_state) > 8 THEN 'seller_state:length_1_8' END) AS reasons, count(*) AS records
+       FROM t_analytical GROUP BY 1""",
+)
+def record_routing(s: Stage) -> DataFrame:
+    """Value rules on every order; states longer than a code are turned away, with the reason."""
+    from tidemark.streaming.scoring import conform
+
+    rules = scoring.record_rules() + scoring.code_length_rules()
+    accepted, rejected = scoring.route_records(conform(s.analytical), rules)
+    reasons = accepted.select(F.lit("").alias("reasons")).unionByName(
+        rejected.select(F.array_join("reasons", ",").alias("reasons"))
+    )
+    return reasons.groupBy("reasons").agg(F.count("*").alias("records"))
+
+
+# --- learning ------------------------------------------------------------------------------------
+
+
+@query(
+    "order_id:s score:f",
+    f"""SELECT order_id, (SELECT avg(is_late::INT) FROM ({FIT_SQL}) AS f) AS score FROM t_delivered
+        WHERE order_purchase_timestamp >= TIMESTAMP '1999-07-01' AND order_purchase_timestamp < TIMESTAMP '2000-01-01'""",
+)
+def majority_baseline(s: Stage) -> DataFrame:
+    label = F.col("is_late").cast("int").alias("label")
+    baseline = learning.MajorityBaseline.fit(_fit_orders(s).select(label))
+    return baseline.score(_calibrate_orders(s))
+
+
+@query(
+    "s_promise:f calibrated:f",
+    """WITH g AS (SELECT s_promise AS s, count(*) AS n, sum(label) AS p FROM t_scored GROUP BY 1),
+            b AS (SELECT j.s AS lo, k.s AS hi, sum(m.p) / sum(m.n) AS a FROM g j JOIN g k ON j.s <= k.s JOIN g m ON m.s BETWEEN j.s AND k.s GROUP BY 1, 2)
+       SELECT s AS s_promise, max(least_above) AS calibrated FROM
+         (SELECT g.s, b.lo, min(b.a) AS least_above FROM g JOIN b ON b.lo <= g.s AND b.hi >= g.s GROUP BY 1, 2) AS x GROUP BY 1""",
+)
+def isotonic_calibration(s: Stage) -> DataFrame:
+    """Against the min-max formula of isotonic regression, on the distinct scores."""
+    scores = s.scored.select("label", F.col("s_promise").alias("score"))
+    model = learning.fit_isotonic(scores)
+    distinct = scores.select("score", F.col("score").alias("s_promise")).distinct()
+    return learning.calibrate(model, distinct).withColumnRenamed("score", "calibrated")
+
+
+@query("weight_s_hash:f weight_s_promise:f weight_s_buyer:f blend_pr_auc:f delta:f ship_blend:b")
+def blend_verdict(s: Stage) -> DataFrame:
+    names = ["s_buyer", "s_hash", "s_promise"]
+    scored = materialize(s.scored)
+    verdict = decision.evaluate_blend(scored, decision.fit_blend_weights(scored, names, steps=6, rounds=2))
+    row = (*[verdict.weights[f"s_{n}"] for n in ("hash", "promise", "buyer")], verdict.blend_pr_auc, verdict.delta, verdict.ship_blend)
+    return s.spark.createDataFrame(
+        [row],
+        "weight_s_hash double, weight_s_promise double, weight_s_buyer double, blend_pr_auc double, delta double, ship_blend boolean",
+    )
+
+
+def _matrix(s: Stage) -> DataFrame:
+    labels = s.outcomes.select("order_id", F.col("is_late").cast("int").alias("label"))
+    rows = s.preprocessor.transform_with_snapshots(s.analytical, asof.levels_of(s.ledger), ["order_id", PURCHASED_AT])
+    return rows.join(labels, "order_id")
+
+
+def _fit_and_calibrate(s: Stage) -> tuple[DataFrame, DataFrame]:
+    matrix = materialize(_matrix(s))
+    return splits.select_window(matrix, s.fit), splits.select_window(matrix, s.calibrate)
+
+
+def _family_scores(s: Stage, family: str, params: dict) -> DataFrame:
+    fit, calibrate = _fit_and_calibrate(s)
+    rows = materialize(splits.with_tail(fit).withColumnRenamed("is_tail", learning.VALIDATION))
+    model = learning.fit_model(family, rows, s.preprocessor.levels, params)
+    return learning.positive_score(model, calibrate, keep=["order_id"])
+
+
+@query("order_id:s score:f")
+def logistic_scores(s: Stage) -> DataFrame:
+    return _family_scores(s, "logistic", {})
+
+
+@query("order_id:s score:f")
+def boosted_tree_scores(s: Stage) -> DataFrame:
+    return _family_scores(s, "gbt", {"maxIter": 5, "maxDepth": 3})
+
+
+@query("model:s fold:i pr_auc:f base_rate:f lift:f")
+def cross_validation(s: Stage) -> DataFrame:
+    fit, _ = _fit_and_calibrate(s)
+    ranked, n = splits.ranked_in_time(fit)
+    folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, 2)))
+    rates = [r[0] for r in folded.where("fold > 0").groupBy("fold").agg(F.avg("label")).orderBy("fold").select("avg(label)").collect()]
+    levels = s.preprocessor.levels
+    scores = {
+        "majority": learning.cross_validate(folded, learning.majority_fitter(), 2),
+        "logistic": learning.cross_validate(folded, learning.family_fitter("logistic", levels), 2),
+    }
+    return learning.comparison_report(scores, rates, folded)
+
+
+@query("feature:s importance:f")
+def permutation_importance(s: Stage) -> DataFrame:
+    fit, calibrate = _fit_and_calibrate(s)
+    model = learning.fit_model("logistic", fit, s.preprocessor.levels)
+    return learning.permutation_importance(model, calibrate, ["promised_days", "haversine_km"], "order_id")
+
+
+def _scoring_model(s: Stage) -> scoring.ScoringModel:
+    fit, calibrate = _fit_and_calibrate(s)
+    model = learning.fit_model("logistic", fit, s.preprocessor.levels)
+    scores = materialize(learning.positive_score(model, calibrate, keep=["label"]))
+    return scoring.ScoringModel(
+        s.preprocessor.with_threshold(0.1), {"logistic": model}, {"logistic": 1.0}, learning.fit_isotonic(scores)
+    )
+
+
+@query("order_id:s probability:f is_late_predicted:b threshold:f")
+def score_records(s: Stage) -> DataFrame:
+    from tidemark.streaming.scoring import conform
+
+    return _scoring_model(s).predict(conform(s.analytical), ["order_id"])
+
+
+@query(
+    "output:s records:i",
+    """SELECT 'scored' AS output, count(*) AS records FROM t_analytical WHERE length(customer_state) <= 8 AND length(seller_state) <= 8
+       UNION ALL SELECT 'rejected', count(*) FROM t_analytical WHERE length(customer_state) > 8 OR length(seller_state) > 8""",
+)
+def stream_scoring(s: Stage) -> DataFrame:
+    """All orders through the stream: every record comes out once, scored or rejected."""
+    from tidemark.streaming.scoring import conform, read_records, score_stream
+
+    folder = scratch_folder(s.spark)
+    conform(s.analytical).write.parquet(f"{folder}/records")
+    rules = scoring.record_rules() + scoring.code_length_rules()
+    stream = read_records(s.spark, f"{folder}/records")
+    score_stream(stream, _scoring_model(s), f"{folder}/out", rules=rules).awaitTermination()
+    outputs = [
+        s.spark.read.parquet(f"{folder}/out/{name}").agg(F.lit(name).alias("output"), F.count("*").alias("records"))
+        for name in ("scored", "rejected")
+    ]
+    return outputs[0].unionByName(outputs[1])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: entry.run for name, entry in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql_for(q.sql, q.spec) for name, q in QUERIES.items() if q.sql}
-
-
-__all__ = ["ANALYTICAL_COLUMNS", "QUERIES", "Stage", "Window", "month_start", "oracle_sql", "queries"]

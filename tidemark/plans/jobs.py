@@ -211,7 +211,8 @@ def decide_job(
     ratio: float = FN_FP_COST_RATIO,
     how: str = "interleaved",
 ) -> Decision:
-    """Refit, blend on one half of the calibration window, calibrate and cut on the other."""
+    """Refit, then blend and choose on one half of the calibration window, calibrate and cut on
+    the other. The first half also shows what calibration is worth on rows it did not see."""
     models = {family: fit_final(matrix, family, p) for family, p in params.items()}
     names = sorted(models)
     scored = splits.halves(matrix.calibrate_rows(), how)
@@ -222,24 +223,23 @@ def decide_job(
     first, second = scored.where("first_half"), scored.where("not first_half")
 
     weights = decision.fit_blend_weights(first, names)
-    verdict = decision.evaluate_blend(second, weights, MIN_BLEND_GAIN)
+    verdict = decision.evaluate_blend(first, weights, MIN_BLEND_GAIN)
     single = decision.choose_model(scored.sparkSession, verdict.single_pr_auc, costs, SELECTION_BAND)
     chosen = "blend" if verdict.ship_blend else single
     used = weights if verdict.ship_blend else {single: 1.0}
 
-    shipped = decision.blend(sorted(used), [used[n] for n in sorted(used)])
-    final = materialize(scored.select("first_half", metrics.LABEL, shipped.alias(SCORE)))
-    fit_on, cut_on = final.where("first_half"), final.where("not first_half")
-    calibrator = learning.fit_isotonic(fit_on.select(metrics.LABEL, SCORE))
-    calibrated = materialize(learning.calibrate(calibrator, cut_on.select(metrics.LABEL, SCORE)))
+    shipped = decision.blend(sorted(used), [used[n] for n in sorted(used)]).alias(SCORE)
+    held_out = materialize(first.select(metrics.LABEL, shipped))
+    fit_on = materialize(second.select(metrics.LABEL, shipped))
+    calibrator = learning.fit_isotonic(fit_on)
+    calibrated = materialize(learning.calibrate(calibrator, fit_on))
     best = metrics.best_threshold(metrics.cost_curve(calibrated, ratio))
+    # A threshold of exactly 0 or 1 flags everything or nothing; keep it strictly inside.
     threshold = min(max(best.first()["threshold"], 1e-9), 1 - 1e-9)
     scoring = ScoringModel(
         matrix.preprocessing.with_threshold(threshold), {n: models[n] for n in used}, used, calibrator
     )
-    report = learning.calibration_report(
-        fit_on.select(metrics.LABEL, SCORE), cut_on.select(metrics.LABEL, SCORE)
-    )
+    report = learning.calibration_report(calibrator, {"fitted": fit_on, "held_out": held_out})
     return Decision(scoring, chosen, verdict, best, report)
 
 

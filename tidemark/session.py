@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         )
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder on the shared checkpoint storage, for files a job hands to its next step."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from the files.
 
