@@ -81,7 +81,7 @@ def grouped_quantiles(
     out = cold.groupBy(*groups).agg(*[F.percentile(value, float(p)).alias(n) for n, p in probabilities.items()])
     if hot is None:
         return out
-    return out.unionByName(quantilesquantiles_by_running_totals(hot, groups, value, probabilities))
+    return out.unionByName(quantiles_by_running_totals(hot, groups, value, probabilities))
 
 
 def column_quantiles(
