@@ -8,12 +8,12 @@ depend on the layout.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import column_quantiles
+from tidemark.operators.quantiles import quantile_list
 from tidemark.operators.ranking import global_rank, running_totals
 from tidemark.session import materialize
 from tidemark.settings import FN_FP_COST_RATIO, REVIEW_CAPACITY
@@ -324,9 +324,10 @@ def best_threshold(costs: DataFrame) -> DataFrame:
 
 def reliability(df: DataFrame, bins: int = 10) -> DataFrame:
     """Mean predicted and observed rate per equal-count bin; empty bins are absent."""
-    steps = {f"e{i}": i / bins for i in range(1, bins)}
-    edges = _edges(df, steps)
-    bin_of = F.size(F.filter(F.lit(edges), lambda e: e < F.col(SCORE)))
+    edges = quantile_list(df, SCORE, [i / bins for i in range(1, bins)])
+    bin_of = F.lit(0)
+    for edge in edges:
+        bin_of = bin_of + (F.col(SCORE) > F.lit(edge)).cast("int")
     return df.groupBy(bin_of.alias("bin")).agg(
         F.count("*").alias("n"),
         F.avg(SCORE).alias("mean_predicted"),
@@ -334,12 +335,6 @@ def reliability(df: DataFrame, bins: int = 10) -> DataFrame:
     )
 
 
-def _edges(df: DataFrame, steps: Mapping[str, float]) -> list[float]:
-    frame = df.select(*[F.col(SCORE).alias(name) for name in steps])
-    values = column_quantiles(frame, steps)
-    return [float(values[name]) for name in steps]
-
-
 def nearest_rank(durations: DataFrame, column: str, share: float = 0.95) -> float:
     """Nearest-rank percentile: the value at position int(n * share) - 1, never before the first."""
     n = durations.count()

@@ -84,13 +84,27 @@ def grouped_quantiles(
     return out.unionByName(quantiles_by_running_totals(hot, groups, value, probabilities))
 
 
+def quantile_list(
+    df: DataFrame, column: str, probabilities: Sequence[float], rows_in_one_task: int = ROWS_IN_ONE_TASK
+) -> list[float]:
+    """Several quantiles of one column over the whole frame, as driver-side numbers."""
+    values = df.select(F.lit(0).alias("all"), F.col(column).cast("double").alias("value"))
+    if values.count() <= rows_in_one_task:
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+        return list(values.agg(F.percentile("value", wanted)).first()[0])
+    names = {f"q{i}": p for i, p in enumerate(probabilities)}
+    row = quantiles_by_running_totals(values, ["all"], "value", names).first()
+    return [row[name] for name in names]
+
+
 def column_quantiles(
     df: DataFrame, wanted: Mapping[str, float], rows_in_one_task: int = ROWS_IN_ONE_TASK
 ) -> dict[str, float | None]:
     """One quantile per numeric column over the whole frame, as driver-side numbers."""
     columns = list(wanted)
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if doubles.count() <= rows_in_one_task:
+    # All columns share one task's memory on the short path.
+    if doubles.count() * len(columns) <= rows_in_one_task:
         row = doubles.agg(*[F.percentile(c, float(p)).alias(c) for c, p in wanted.items()]).first()
         return {c: row[c] for c in columns}
 

@@ -62,7 +62,15 @@ class Stage:
 
     @cached_property
     def plan_analytical(self) -> DataFrame:
-        return orders_analytical(self.raw, self.window)
+        return orders_analytical(self.raw, self.window, self.zips, self.states)
+
+    @cached_property
+    def zips(self) -> DataFrame:
+        return materialize(zip_centroids(self.raw.geolocation))
+
+    @cached_property
+    def states(self) -> DataFrame:
+        return materialize(state_centroids(self.raw.geolocation))
 
     @cached_property
     def analytical(self) -> DataFrame:
@@ -280,14 +288,14 @@ def state_centroid(s: Stage) -> DataFrame:
     "SELECT * FROM t_customer_geo",
 )
 def customer_location(s: Stage) -> DataFrame:
-    return located_customers(s.raw, zip_centroids(s.raw.geolocation), state_centroids(s.raw.geolocation))
+    return located_customers(s.raw, s.zips, s.states)
 
 
 @query(
     "seller_id:s seller_state:s seller_lat:f seller_lng:f seller_geo_source:s", "SELECT * FROM t_seller_geo"
 )
 def seller_location(s: Stage) -> DataFrame:
-    return located_sellers(s.raw, zip_centroids(s.raw.geolocation), state_centroids(s.raw.geolocation))
+    return located_sellers(s.raw, s.zips, s.states)
 
 
 @query(

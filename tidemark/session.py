@@ -68,13 +68,16 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+    """Write ``df`` as a table in the shared checkpoint folder and continue from that table.
 
     Used where a frame is read more than once, or where it holds a physical fact
-    (``spark_partition_id``) that has to become plain data before anything depends on it.
+    (``spark_partition_id``) that has to become plain data before anything depends on it. A
+    table rather than an RDD checkpoint: later reads take only the columns they need, and its
+    measured size lets Spark decide for or against a broadcast.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def spread(df: DataFrame) -> DataFrame:
