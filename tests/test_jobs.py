@@ -149,3 +149,10 @@ def test_batch_and_stream_give_the_same_decisions(spark, decided, root, tmp_path
 def test_review_impact(spark, root):
     rows = jobs.review_job(spark, StarTables(spark, SF_SMALL), root).collect()
     assert {r["is_late"] for r in rows} == {True, False} and all(r["with_review"] < r["orders"] for r in rows)
+
+
+def test_linear_attributions_add_up_to_the_margin(matrix):
+    out = jobs.explain_job(matrix, 50)
+    assert out["attributions"].count() == 50
+    assert out["additivity"].first()[0] < 1e-9
+    assert "promised_days" in [r["feature"] for r in out["ranking"].collect()]

@@ -26,6 +26,13 @@ def linear_attributions(
     )
 
 
+def centred(contributions: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> tuple[DataFrame, float]:
+    """Attributions as distance from each feature's mean contribution, and the sum of the means."""
+    means = contributions.agg(*[F.avg(f).alias(f) for f in features]).first()
+    out = contributions.select(*keep, *[(F.col(f) - F.lit(means[f])).alias(f) for f in features])
+    return out, float(sum(means))
+
+
 def blended_attributions(
     per_model: Mapping[str, DataFrame], weights: Mapping[str, float], key: str, features: Sequence[str]
 ) -> DataFrame:

@@ -1096,6 +1096,34 @@ def mean_abs_attribution(s: Stage) -> DataFrame:
     return explain.mean_abs_attribution(_attributions(s), list(ATTRIBUTED))
 
 
+@query("additivity_gap:f", "SELECT max(abs(s_hash - s_hash)) AS additivity_gap FROM t_scored")
+def additivity_gap(s: Stage) -> DataFrame:
+    """Attributions plus the base against the linear score itself: no gap."""
+    means = s.scored.agg(*[F.avg(c).alias(c) for c in ATTRIBUTED]).first().asDict()
+    parts = explain.linear_attributions(s.scored, ATTRIBUTED, means, ["order_id"])
+    output = F.lit(0.0)
+    for name, weight in ATTRIBUTED.items():
+        output = output + F.lit(weight) * F.col(name)
+    base = sum(w * means[c] for c, w in ATTRIBUTED.items())
+    own = s.scored.select("order_id", output.alias("output"))
+    return explain.additivity_gap(parts.join(own, "order_id"), list(ATTRIBUTED), base, "output")
+
+
+@query(
+    "order_id:s s_hash:f s_promise:f s_buyer:f",
+    """SELECT order_id, (0.25 * 0.5 + 0.75) * (s_hash - (SELECT avg(s_hash) FROM t_scored)) AS s_hash,
+              (0.25 * 2.0 + 0.75) * (s_promise - (SELECT avg(s_promise) FROM t_scored)) AS s_promise,
+              (0.25 * -1.25 + 0.75) * (s_buyer - (SELECT avg(s_buyer) FROM t_scored)) AS s_buyer FROM t_scored""",
+)
+def blended_attributions(s: Stage) -> DataFrame:
+    """Two linear models of the same rows, weighted as their blend."""
+    means = s.scored.agg(*[F.avg(c).alias(c) for c in ATTRIBUTED]).first().asDict()
+    flat = explain.linear_attributions(s.scored, dict.fromkeys(ATTRIBUTED, 1.0), means, ["order_id"])
+    return explain.blended_attributions(
+        {"steep": _attributions(s), "flat": flat}, {"steep": 0.25, "flat": 0.75}, "order_id", list(ATTRIBUTED)
+    )
+
+
 @query("feature:s alarm:s", "SELECT '*' AS feature, 'no expected feature leads' AS alarm FROM t_scored LIMIT 1")
 def leakage_alarms(s: Stage) -> DataFrame:
     return explain.leakage_alarms(mean_abs_attribution(s))

@@ -424,16 +424,24 @@ def holdout_reference(
 
 
 def explain_job(matrix: Matrix, sample: int = explain.SAMPLE_ROWS) -> dict[str, DataFrame]:
-    """Linear attributions of a seeded sample: ranking, additivity against the margin, alarms."""
+    """Attributions of a seeded sample under the linear model: ranking, additivity and alarms.
+
+    Attributions of a row plus the base add up to the model's own margin; the gap says by how
+    much they fail to.
+    """
     fit_rows = materialize(matrix.fit_rows())
     model = learning.fit_model("logistic", fit_rows, matrix.preprocessing.levels)
-    coefficients, means, _ = learning.logistic_terms(model)
-    rows = profile.seeded_sample(fit_rows, "order_id", sample)
-    attributions = materialize(explain.linear_attributions(rows, coefficients, means, ["order_id"]))
-    ranking = explain.mean_abs_attribution(attributions, list(coefficients))
+    parts, intercept = learning.linear_contributions(model, matrix.preprocessing.levels)
+    rows = materialize(profile.seeded_sample(fit_rows, "order_id", sample))
+    contributions = materialize(rows.select("order_id", *[c.alias(f) for f, c in parts.items()]))
+    names = list(parts)
+    attributions, shift = explain.centred(contributions, names, ["order_id"])
+    checked = attributions.join(learning.margin(model, rows, ["order_id"]), "order_id")
+    ranking = explain.mean_abs_attribution(attributions, names)
     return {
         "attributions": attributions,
         "ranking": ranking,
+        "additivity": explain.additivity_gap(checked, names, intercept + shift, "margin"),
         "alarms": explain.leakage_alarms(ranking),
     }
 
