@@ -6,11 +6,13 @@ hash evaluations fill the bands, and a band mixes minima and maxima of different
 
 Sets that are equal are one node, so exact copies never meet in pairs. A bucket (band and value)
 first compares each node with the bucket's smallest one only; a node takes its smallest such hub
-over all buckets. Components of the confirmed links are then laid over the buckets, and what is
-still apart inside a bucket is compared: all nodes outside the bucket's largest component with
-every node of other components. A pair is skipped only if it is already connected or if the set
-sizes alone rule it out, so no link between candidates is lost and large groups of near copies
-cost a row a node instead of a row a pair.
+over all buckets. Components of the confirmed links are then laid over the buckets. For a few
+rounds, every node outside its bucket's largest component tries one more member of that component,
+another one each round; what is apart after that is compared in full, all nodes outside the
+largest component with every node of other components. A pair is skipped only if it is already
+connected or if the set sizes alone rule it out, so no link between candidates is lost. The full
+comparison runs over blocks of about ``BLOCK`` sets, so large groups of near copies cost a few rows
+a node and a row a pair of blocks, never a row a pair.
 
 With the default 80 permutations in 32 bands of 5, a pair at similarity 0.8 is missed with a
 probability of 3e-6.
@@ -41,6 +43,10 @@ SIMILAR_PERCENT = 80
 
 _FACTORS = (stream(101, PERMUTATIONS) | np.uint64(1))[:, None]
 _SHIFTS = stream(211, PERMUTATIONS)[:, None]
+#: Rounds in which a node tries one more member of the largest component of a bucket.
+ROUNDS = 2
+#: Sets compared with as many others at a time.
+BLOCK = 64
 #: Shingles hashed at a time.
 _STEP = 1024
 
@@ -132,12 +138,63 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(joined.mapInArrow(_linked, "a long, b long"))
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the sets of two blocks that belong to different components."""
+    for batch in batches:
+        found: list[tuple[int, int]] = []
+        for row in batch.to_pylist():
+            right = row["right"]
+            nodes, labels, sizes = (np.array([x[c] for x in right]) for c in ("node", "label", "n"))
+            values = np.concatenate([np.frombuffer(x["shingles"], np.uint64) for x in right])
+            owner = np.repeat(np.arange(len(right)), sizes)
+            for one in row["left"]:
+                mine = np.frombuffer(one["shingles"], np.uint64)
+                at = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
+                common = np.bincount(owner[mine[at] == values], minlength=len(right))
+                good = (100 * common >= SIMILAR_PERCENT * (sizes + one["n"] - common)) & (labels != one["label"])
+                found += [(min(one["node"], b), max(one["node"], b)) for b in nodes[good].tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _compare_blocks(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between every node outside a bucket's main component and all nodes of the buckets with
+    that main component, as a table."""
+    members = materialize(
+        apart.select("main", "node", "n", "label", (F.col("label") != F.col("main")).alias("outside")).distinct()
+    )
+    crowds = members.groupBy("main").agg(F.count("*").alias("all"), F.count_if("outside").alias("strangers"))
+    full = members.join(crowds, "main").join(sets.withColumnRenamed("doc_id", "node"), "node")
+
+    def blocks(rows: DataFrame, many: str, name: str) -> DataFrame:
+        number = F.pmod(F.xxhash64("node"), F.ceil(F.col(many) / BLOCK)).alias("block")
+        return rows.groupBy("main", number).agg(F.collect_list(F.struct("node", "n", "label", "shingles")).alias(name)).select("main", name)
+
+    paired = blocks(full.where("outside"), "strangers", "left").join(blocks(full, "all", "right"), "main")
+    return materialize(paired.select("left", "right").mapInArrow(_block_links, "a long, b long").distinct())
+
+
 def _possible(a: str, b: str) -> F.Column:
     """Sizes that could still reach the threshold."""
     small, large = F.least(a, b), F.greatest(a, b)
     return 100 * small >= SIMILAR_PERCENT * large
 
 
+def _apart(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their label and the bucket's main
+    one, which has the most members; as a table."""
+    placed = live.join(labels, live.node == labels.id, "left").select(
+        "bucket", "node", "n", F.coalesce("label", "node").alias("label")
+    )
+    crowds = placed.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    mixed = (
+        crowds.groupBy("bucket")
+        .agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("crowds"))
+        .where("crowds > 1")
+        .select("bucket", "main")
+    )
+    return materialize(placed.join(mixed, "bucket"))
+
+
 def components(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
@@ -172,31 +229,32 @@ def components(docs: DataFrame, k: int) -> DataFrame:
     sets = materialize(
         texts.join(involved, "doc_id", "left_semi").mapInArrow(partial(_full_sets, k=k), "doc_id long, shingles binary")
     )
-    links = _confirm(first, sets)
-    labels = connect(links)
+    tried, links = first, _confirm(first, sets)
+    for number in range(ROUNDS):
+        apart = _apart(live, connect(links))
+        hubs = (
+            apart.where("label = main")
+            .groupBy("bucket")
+            .agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(number))).alias("hub"))
+        )
+        picked = (
+            apart.where("label != main")
+            .join(hubs, "bucket")
+            .where(_possible("n", "hub.n"))
+            .groupBy("node")
+            .agg(F.min_by("hub.node", F.xxhash64("bucket", F.lit(number))).alias("other"))
+        )
+        pairs = materialize(
+            picked.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+            .distinct()
+            .join(tried, ["a", "b"], "left_anti")
+        )
+        if pairs.isEmpty():
+            break
+        tried = materialize(tried.unionByName(pairs))
+        links = materialize(links.unionByName(_confirm(pairs, sets)))
 
-    placed = live.join(labels, live.node == labels.id, "left").select(
-        "bucket", "node", "n", F.coalesce("label", "node").alias("label")
-    )
-    placed = materialize(placed)
-    crowds = placed.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    mixed = (
-        crowds.groupBy("bucket")
-        .agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("crowds"))
-        .where("crowds > 1")
-        .select("bucket", "main")
-    )
-    apart = placed.join(mixed, "bucket")
-    outside = apart.where("label != main").select("bucket", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "label")))
-    rest = (
-        apart.join(outside, "bucket")
-        .where(F.col("label") != F.col("o_label"))
-        .where(_possible("n", "o_n"))
-        .select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    links = materialize(links.unionByName(_confirm(rest, sets)))
+    links = materialize(links.unionByName(_compare_blocks(_apart(live, connect(links)), sets)))
     labels = connect(links)
 
     final = nodes.select("key_a", "key_b", "n_shingles", "node").join(labels, F.col("node") == F.col("id"), "left")
