@@ -53,7 +53,7 @@ _WIDE_WHITE = re.compile("[\x85\xa0  -     　]")
 #: Characters of distinct words encoded in one call.
 _CALL = 1 << 18
 #: Bytes of text whose distinct pieces are encoded together.
-_BLOCK = 1 << 23
+_BLOCK = 1 << 22
 #: Emptiest patterns tried as donor in a round of local search.
 GIVERS = 16
 
@@ -67,9 +67,9 @@ class Tokens:
     as they are.
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY, ranks: str = RANKS):
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+    def __init__(self, vocabulary: str = VOCABULARY, ranks: str = RANKS, special: tuple[str, ...] | None = None):
+        self.vocabulary = vocabulary
+        self.special = special_tokens(vocabulary) if special is None else special
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
@@ -77,6 +77,11 @@ class Tokens:
         for piece, rank in table.items():
             self.widths[rank] = len(piece)
 
+    @functools.cached_property
+    def whole(self) -> Tokenizer:
+        """Only loaded where a text needs it."""
+        return Tokenizer.from_file(self.vocabulary)
+
     def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many spans, one after the other, and the number of ids of each span."""
         counts = np.zeros(len(starts), np.int64)
@@ -139,9 +144,13 @@ class Tokens:
         return not raw.isascii() and _WIDE_WHITE.search(raw.decode()) is not None
 
 
-@functools.lru_cache(maxsize=2)
-def tokens(vocabulary: str, ranks: str) -> Tokens:
-    return Tokens(vocabulary, ranks)
+def special_tokens(vocabulary: str) -> tuple[str, ...]:
+    return tuple(t.content for t in Tokenizer.from_file(vocabulary).get_added_tokens_decoder().values())
+
+
+@functools.lru_cache(maxsize=1)
+def tokens(vocabulary: str, ranks: str, special: tuple[str, ...]) -> Tokens:
+    return Tokens(vocabulary, ranks, special)
 
 
 def cuts(n: int, size: int) -> list[tuple[int, int]]:
@@ -150,8 +159,8 @@ def cuts(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, min(n, first))] + [(start, size) for start in range(first, n, size)]
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], size: int, vocabulary: str, ranks: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = tokens(vocabulary, ranks)
+def _pieces(batches: Iterator[pa.RecordBatch], size: int, encoding: tuple, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    encoder = tokens(*encoding)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     for batch in batches:
         keys = batch.column("doc_id")
@@ -318,7 +327,7 @@ def pack_documents(
     With ``keep_ids`` the piece's ids follow as an array.
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    cut = partial(_pieces, size=size, vocabulary=vocabulary, ranks=ranks, keep_ids=keep_ids)
+    cut = partial(_pieces, size=size, encoding=(vocabulary, ranks, special_tokens(vocabulary)), keep_ids=keep_ids)
     pieces = materialize(docs.select("doc_id", "text").mapInArrow(cut, schema))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     table = _places(pack(counts, size))
