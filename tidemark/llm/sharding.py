@@ -98,41 +98,31 @@ def _earliest_ends(ranges: list[Range], capacity: int) -> list[int]:
     return ends
 
 
-def _open_ranges(ranges: list[Range], low: int, high: int, shards: int) -> list[int]:
-    """Numbers of the ranges in which a cut may fall for a capacity between ``low`` and ``high``."""
+def _open_runs(ranges: list[Range], low: int, high: int, shards: int) -> list[tuple[int, int]]:
+    """Runs [i, j) of ranges in which a cut may fall for a capacity between ``low`` and ``high``;
+    runs that hold single groups only are settled and left out."""
     total = sum(r.size for r in ranges)
-    early = _earliest_ends(ranges, low)
-    windows = []
-    for number in range(shards):
-        first = early[number] if number < len(early) else (early[-1] if early else 0)
-        windows.append((first, min(total, (number + 1) * high)))
-    chosen, begin = [], 0
+    early = _earliest_ends(ranges, low) or [0]
+    windows = [(early[min(k, len(early) - 1)], min(total, (k + 1) * high)) for k in range(shards)]
+    runs: list[tuple[int, int]] = []
+    begin = 0
     for i, r in enumerate(ranges):
         end = begin + r.size
-        if r.groups > 1 and any(a < end and b > begin for a, b in windows):
-            chosen.append(i)
+        if any(a < end and b > begin for a, b in windows):
+            if runs and runs[-1][1] == i:
+                runs[-1] = (runs[-1][0], i + 1)
+            else:
+                runs.append((i, i + 1))
         begin = end
-    return chosen
-
-
-def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order, those that touch made one."""
-    out: list[tuple[int, int]] = []
-    for first, last in sorted(spans):
-        if out and out[-1][1] == first:
-            out[-1] = (out[-1][0], last)
-        else:
-            out.append((first, last))
-    return out
+    return [(i, j) for i, j in runs if any(r.groups > 1 for r in ranges[i:j])]
 
 
-def _summary(groups: DataFrame, spans: list[tuple[int, int]], bits: int) -> list[Range]:
-    """The groups inside ``spans``, each span cut into ``2**bits`` key ranges; empty ones are left out."""
+def _summary(groups: DataFrame, spans: list[tuple[int, int, int]]) -> list[Range]:
+    """The groups inside the key spans (first, last, width), cut at multiples of each one's width, a
+    power of two; empty ranges are left out."""
     out = []
-    for width in sorted({max(1, (b - a) >> bits) for a, b in spans}):
-        mine = _joined([(a, b) for a, b in spans if max(1, (b - a) >> bits) == width])
-        inside = reduce(or_, (F.col("key").between(a, b - 1) for a, b in mine))
-        # Spans of one width begin at multiples of it.
+    for width in sorted({width for _, _, width in spans}):
+        inside = reduce(or_, (F.col("key").between(a, b - 1) for a, b, w in spans if w == width))
         shift = width.bit_length() - 1
         rows = (
             groups.where(inside)
@@ -141,21 +131,24 @@ def _summary(groups: DataFrame, spans: list[tuple[int, int]], bits: int) -> list
             .collect()
         )
         out += [Range(r["part"] << shift, (r["part"] + 1) << shift, r["groups"], r["size"], r["largest"]) for r in rows]
-    return sorted(out, key=lambda r: r.first)
+    return out
 
 
 def minimax_cuts(groups: DataFrame, shards: int, first_bits: int = FIRST_BITS, step_bits: int = STEP_BITS) -> tuple[int, list[int]]:
     """Smallest capacity for ``groups`` (key, size) in key order, and the first key of every shard
     but the first."""
-    ranges = _summary(groups, [(_LOW, _HIGH)], first_bits)
+    ranges = sorted(_summary(groups, [(_LOW, _HIGH, 1 << (64 - first_bits))]), key=lambda r: r.first)
     while True:
         low, high = _smallest(ranges, shards, True), _smallest(ranges, shards, False)
-        todo = _open_ranges(ranges, low, high, shards)
-        if not todo:
+        runs = _open_runs(ranges, low, high, shards)
+        if not runs:
             break
-        refined = _summary(groups, [(ranges[i].first, ranges[i].last) for i in todo], step_bits)
-        kept = [r for i, r in enumerate(ranges) if i not in set(todo)]
-        ranges = sorted(kept + refined, key=lambda r: r.first)
+        # A run's widest range becomes finer; nothing lies in the keys between its ranges.
+        widths = [max(r.last - r.first for r in ranges[i:j] if r.groups > 1) for i, j in runs]
+        spans = [(ranges[i].first, ranges[j - 1].last, max(1, w >> step_bits)) for (i, j), w in zip(runs, widths, strict=True)]
+        within = {k for i, j in runs for k in range(i, j)}
+        ranges = [r for k, r in enumerate(ranges) if k not in within] + _summary(groups, spans)
+        ranges.sort(key=lambda r: r.first)
     cuts, total = [], 0
     ends = _fill(ranges, high, False) or []
     for r in ranges:
