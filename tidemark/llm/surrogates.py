@@ -164,29 +164,26 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and columns n_found and kinds (types found, sorted)."""
     plain = docs.drop("n_found", "kinds")
     entities = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
-    marked = plain.withColumn("_found", entities)
-    hit = marked.where(F.size("_found") > 0)
     row_key = F.xxhash64("text").alias("_text")
-    places = materialize(
-        hit.select("doc_id", row_key, F.posexplode("_found").alias("place", "entity")).withColumn("kind", _kind(F.col("entity")))
-    )
+    # Exploding drops texts without entities, so the patterns run once over every text.
+    found = plain.select("doc_id", row_key, F.posexplode(entities).alias("place", "entity"))
+    places = materialize(found.withColumn("kind", _kind(F.col("entity"))))
     surrogates = assign(places.select("entity", "kind").distinct(), key)
     lists = (
         places.join(surrogates, ["entity", "kind"])
-        .groupBy(F.col("doc_id").alias("_doc"), "_text")
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("_text").alias("_key"))
         .agg(F.sort_array(F.collect_set(F.struct("place", "surrogate", "kind"))).alias("_new"))
     )
-    pieces = F.split("text", ANY, -1)
     fresh = F.concat(F.col("_new.surrogate"), F.array(F.lit("")))
+    pieces = F.split("text", ANY, -1)
     replaced = F.array_join(F.flatten(F.zip_with(pieces, fresh, lambda a, b: F.array(a, b))), "")
-    own = [c for c in plain.columns if c != "text"]
-    changed = (
-        plain.where(F.col("text").rlike(ANY))
-        .withColumn("_text", row_key)
-        .join(lists.withColumnRenamed("_text", "_key"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_key")))
-        .select(*own, replaced.alias("text"), F.size("_new").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct("_new.kind")), ",").alias("kinds"))
-    )
-    untouched = plain.where(F.col("text").isNull() | ~F.col("text").rlike(ANY)).select(
-        *own, "text", F.lit(0).cast("long").alias("n_found"), F.lit("").alias("kinds")
+    untouched = F.col("_new").isNull()
+    return (
+        plain.withColumn("_text", row_key)
+        .join(lists, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_key")), "left")
+        .select(
+            *(F.when(untouched, F.col("text")).otherwise(replaced).alias(c) if c == "text" else F.col(c) for c in plain.columns),
+            F.when(untouched, 0).otherwise(F.size("_new")).cast("long").alias("n_found"),
+            F.when(untouched, "").otherwise(F.array_join(F.array_sort(F.array_distinct("_new.kind")), ",")).alias("kinds"),
+        )
     )
-    return changed.unionByName(untouched).select(*plain.columns, "n_found", "kinds")
