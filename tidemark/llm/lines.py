@@ -4,18 +4,21 @@ A line is the set of its lower-cased words. A line is removed if any earlier lin
 line number) has a Jaccard similarity of 0.8 or more with it; lines without words stay.
 
 Words are ordered by rarity: the rarity of a word is the count of its hash bucket over all lines,
-one of ``2**BUCKET_BITS``, so the order is known from a table of fixed size and every word becomes
-one number whose order is the rarity order. Lines with equal sets are one set, placed at their
-first line. Two similar sets share a word in their prefixes, the first ``n - ceil(0.8 n) + 1``
-words; a pair that shares one is a candidate if the sizes allow the similarity (length filter),
-if the words left after the shared ones could still reach the overlap (positional filter), and if
-the 64-bit parity maps of the sets differ in no more bits than similar sets can. All three lose no
-similar pair. Candidates are verified on their whole sets. Sets of up to three words only match
-equal ones.
-
-Pairs are first made with the earliest set of each prefix word only; what has found an earlier
-match by then is removed and needs no other. Only sets that are still kept meet all earlier ones,
-so a large group of variants of one line costs a row a variant, not a row a pair.
+one of ``2**BUCKET_BITS``, so the order is known from a table of fixed size. Lines with equal sets
+are one set, placed at their first line. Two similar sets share a word in their prefixes, the
+first ``n - ceil(0.8 n) + 1`` words; a pair that shares one is a candidate if the sizes allow the
+similarity (length filter), if the words left after the shared ones could still reach the overlap
+(positional filter), and if the 64-bit parity maps of the sets differ in no more bits than similar
+sets can. All three lose no similar pair. Candidates are verified on their whole sets. Sets of up
+to three words only match equal ones.
+
+Before the join, sets with the same smallest word under a random order are compared with the
+earliest of them. What that removes has found its earlier match and looks for no other; it stays
+in the index for later lines. A large group of variants of one line so costs a row a variant, not
+a row a pair. The join itself sends the index once and reads it for both sides.
+
+Cutting, hashing and ordering the words of a line is done on Arrow batches; grouping, joins and
+verification are DataFrame operations.
 
 Defined results: null text has no lines; repeated rows of one doc_id count as one; other columns
 are kept by :func:`without_repeats` and ignored by :func:`repeats`; an empty table gives an empty
@@ -24,75 +27,148 @@ result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, scratch_folder
+from tidemark.llm.words import NOT_WHITE, hash_spans, mix, text_blocks, word_spans
+from tidemark.session import materialize
 
 BUCKET_BITS = 18
+#: Random orders under which sets with the same smallest word meet the earliest one.
+ORDERS = 2
 #: Lines to look up (about 20 bytes each) that may be broadcast; more are shuffled.
 BROADCAST_LINES = 1_000_000
 _AT = ("doc", "line", "size", "place", "map")
 _PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
+_BUCKETS = np.uint64((1 << BUCKET_BITS) - 1)
+_SET = "doc long, line int, size int, key_a long, key_b long, map long, least array<long>, prefix array<int>"
 
 
-def _words(line: Column) -> Column:
-    """Distinct hashes of the words of a lower-cased line."""
-    parts = F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " ")
-    return F.array_distinct(F.array_remove(F.transform(parts, lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
-
-
-def _bucket(word: Column) -> Column:
-    return word.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
-
-
-def _rarity(words: DataFrame) -> Column:
-    """An array with the rarity rank of every bucket, as a constant; ``words`` has a column word."""
-    counted = words.groupBy(_bucket(F.col("word")).cast("int").alias("bucket")).count().collect()
-    # One row per bucket at most, whatever the table's size.
-    ranks = [0] * (1 << BUCKET_BITS)
-    for rank, (_, bucket) in enumerate(sorted((r["count"], r["bucket"]) for r in counted)):
-        ranks[bucket] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
-
+def _text(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.lower("text").alias("text"))
 
-def _codes(words: Column, rarity: Column) -> Column:
-    """Words as numbers in order of rarity: rank of the bucket, then the hash's other bits."""
 
-    def code(word: Column) -> Column:
-        rank = F.element_at(rarity, (_bucket(word) + 1).cast("int"))
-        return F.shiftleft(rank, 63 - BUCKET_BITS).bitwiseOR(F.shiftrightunsigned(word, BUCKET_BITS + 1))
+def _cut(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, the text of each and its line number there."""
+    starts, ends, at = word_spans(data, bounds, NOT_WHITE)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(at))
+    breaks = np.flatnonzero(data == 10)
+    line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, bounds[:-1])[text]
+    return starts, ends, text, line
 
-    return F.sort_array(F.transform(words, code))
 
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Where any key differs from the entry before; the first entry begins too."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
 
-def _parity(words: Column) -> Column:
-    """64 bits; every word turns over the one that the last six bits of its hash name."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(words, F.lit(0).cast("bigint"), lambda got, w: got.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int"))))
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Uses of every hash bucket in the words of a task."""
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
+    for batch in batches:
+        for _, _, data, bounds in text_blocks(batch.column("text")):
+            starts, ends, _ = word_spans(data, bounds, NOT_WHITE)
+            buckets = (hash_spans(data, starts, ends, fold=False) & _BUCKETS).astype(np.int64)
+            total += np.bincount(buckets, minlength=1 << BUCKET_BITS)
+    used = np.flatnonzero(total)
+    for some in np.array_split(used, max(1, len(used) >> 14)):
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["bucket", "uses"])
 
-def _order(prefix: str) -> Column:
-    return F.struct(F.col(f"{prefix}_doc"), F.col(f"{prefix}_line"))
 
-
-def _may_match() -> Column:
+def _rarity(docs: DataFrame) -> np.ndarray:
+    """The rarity rank of every bucket."""
+    counted = docs.mapInArrow(_count, "bucket int, uses long").groupBy("bucket").agg(F.sum("uses").alias("uses"))
+    # One row per bucket at most, whatever the table's size.
+    found = counted.toArrow()
+    uses = np.zeros(1 << BUCKET_BITS, np.int64)
+    uses[found["bucket"].to_numpy()] = found["uses"].to_numpy()
+    ranks = np.empty(1 << BUCKET_BITS, np.uint64)
+    ranks[np.argsort(uses, kind="stable")] = np.arange(1 << BUCKET_BITS, dtype=np.uint64)
+    return ranks
+
+
+def _sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]:
+    """The set of every line that has words; columns of ``_SET``."""
+    ranks = rarity.value
+    for batch in batches:
+        docs = batch.column("doc")
+        for first, last, data, bounds in text_blocks(batch.column("text")):
+            starts, ends, text, line = _cut(data, bounds)
+            if not len(starts):
+                continue
+            words = hash_spans(data, starts, ends, fold=False)
+            # Rarer buckets first; other bits of the hash decide within one.
+            codes = (ranks[words & _BUCKETS] << np.uint64(64 - BUCKET_BITS)) | (words >> np.uint64(BUCKET_BITS))
+            number = np.cumsum(_begins(text, line)) - 1
+            order = np.lexsort((codes, number))
+            words, codes, number, text, line = words[order], codes[order], number[order], text[order], line[order]
+            # Bucket and other bits are the whole hash, so equal codes are equal hashes.
+            once = _begins(number, codes)
+            words, codes, number, text, line = words[once], codes[once], number[once], text[once], line[once]
+            at = np.flatnonzero(_begins(number))
+            size = np.diff(np.append(at, len(number)))
+            shared = np.where(size > 3, size - (4 * size + 4) // 5 + 1, 0)
+            place = np.arange(len(number)) - np.repeat(at, size)
+            prefix = (codes[place < np.repeat(shared, size)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            sums = [np.add.reduceat(mix(words + np.uint64(seed)), at).view(np.int64) for seed in (101, 202)]
+            parity = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), at).view(np.int64)
+            least = np.stack([np.minimum.reduceat(mix(words ^ np.uint64(303 + k)), at) + np.uint64(k) for k in range(ORDERS)], 1).view(np.int64)
+            least = pa.array(least.ravel()), pa.array(np.arange(len(at) + 1, dtype=np.int32) * ORDERS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    docs.take(pa.array(text[at] + first)),
+                    pa.array(line[at], pa.int32()),
+                    pa.array(size, pa.int32()),
+                    *map(pa.array, sums),
+                    pa.array(parity),
+                    pa.ListArray.from_arrays(least[1], least[0]),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared)), pa.int32()), pa.array(prefix)),
+                ],
+                ["doc", "line", "size", "key_a", "key_b", "map", "least", "prefix"],
+            )
+
+
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the lines that have words, of every document."""
+    for batch in batches:
+        for first, last, data, bounds in text_blocks(batch.column("text")):
+            _, _, text, line = _cut(data, bounds)
+            one = _begins(text, line) if len(text) else np.zeros(0, bool)
+            upto = np.searchsorted(text[one], np.arange(last - first + 1))
+            lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(line[one], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(first, last - first), lists], ["doc", "lines"])
+
+
+def _may_match(a_place: Column, b_place: Column) -> Column:
     """Line a is earlier, and sizes, places and maps allow the similarity."""
     a, b = F.col("a_size"), F.col("b_size")
+    earlier = (F.col("a_doc") < F.col("b_doc")) | ((F.col("a_doc") == F.col("b_doc")) & (F.col("a_line") < F.col("b_line")))
     sizes = 5 * F.least(a, b) >= 4 * F.greatest(a, b)
-    left = 1 + F.least(a - F.col("a_place"), b - F.col("b_place"))
+    left = 1 + F.least(a - a_place, b - b_place)
     apart = F.bit_count(F.col("a_map").bitwiseXOR(F.col("b_map")))
     # Of both sizes together, similar sets share 4/9 at least and differ in 1/9 at most; the maps
     # differ in no more bits than there are differing words.
-    return (_order("a") < _order("b")) & sizes & (9 * left >= 4 * (a + b)) & (9 * apart <= a + b)
+    return earlier & sizes & (9 * left >= 4 * (a + b)) & (9 * apart <= a + b)
 
 
-def _verify(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The later line of each pair that holds on whole sets."""
     ends = pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line")).union(pairs.select("b_doc", "b_line")).distinct()
     ends = materialize(ends)
-    wanted = F.broadcast(ends) if ends.count() <= BROADCAST_LINES else ends
-    sets = materialize(lines.select("doc", "line", "words").join(wanted, ["doc", "line"]).dropDuplicates(["doc", "line"]))
+    wanted = ends.groupBy("doc").agg(F.collect_set("line").alias("wanted"))
+    wanted = F.broadcast(wanted) if ends.count() <= BROADCAST_LINES else wanted
+    lines = docs.join(wanted, "doc").select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    parts = F.split(F.translate("content", "\t\r\x0b\x0c", "    "), " ")
+    words = F.array_distinct(F.array_remove(F.transform(parts, lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    sets = lines.where(F.array_contains("wanted", F.col("line"))).select("doc", "line", words.alias("words"))
+    sets = materialize(sets.dropDuplicates(["doc", "line"]))
     left = sets.select(*(F.col(c).alias(f"a_{c}") for c in ("doc", "line", "words")))
     right = sets.select(*(F.col(c).alias(f"b_{c}") for c in ("doc", "line", "words")))
     common = F.size(F.array_intersect("a_words", "b_words"))
@@ -100,86 +176,76 @@ def _verify(pairs: DataFrame, lines: DataFrame) -> DataFrame:
         pairs.join(left, ["a_doc", "a_line"])
         .join(right, ["b_doc", "b_line"])
         .where(9 * common >= 4 * (F.size("a_words") + F.size("b_words")))
-        .select("b_doc", "b_line")
+        .select(F.col("b_doc").alias("doc"), F.col("b_line").alias("line"))
         .distinct()
     )
 
 
-def _word_table(docs: DataFrame) -> DataFrame:
-    """doc, line and the distinct words of every line that has any, as a table.
-
-    A large dictionary per file lets the words, which are few against their uses, take a third of
-    their size.
-    """
-    lines = docs.select(F.col("doc_id").alias("doc"), F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "content"))
-    folder = scratch_folder(docs.sparkSession)
-    words = lines.select("doc", "line", _words(F.col("content")).alias("words"))
-    words.write.option("parquet.dictionary.page.size", str(1 << 25)).parquet(folder)
-    return docs.sparkSession.read.schema(words.schema).parquet(folder).where(F.size("words") > 0)
+def _meet_earliest(sets: DataFrame) -> DataFrame:
+    """Pairs of each set and the earliest one with the same smallest word under a random order."""
+    keyed = sets.where("size > 3").select(F.explode("least").alias("key"), "doc", "line", "size", "map")
+    hubs = keyed.groupBy("key").agg(F.min(F.struct("doc", "line", "size", "map")).alias("a"), F.count("*").alias("n")).where("n > 1")
+    hubs = hubs.select("key", *(F.col(f"a.{c}").alias(f"a_{c}") for c in ("doc", "line", "size", "map")))
+    later = keyed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("doc", "line", "size", "map")))
+    return later.join(hubs, "key").where(_may_match(F.lit(1), F.lit(1))).select(*_PAIR).distinct()
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0) and repeated of every line that has words."""
-    lines = _word_table(docs)
-    rarity = _rarity(lines.select(F.explode("words").alias("word")))
-    size = F.size("codes")
-    shared = F.when(size > 3, size - F.floor((4 * size + 4) / 5).cast("int") + 1).otherwise(0)
-    coded = lines.select("doc", "line", "words", _codes(F.col("words"), rarity).alias("codes"))
-    firsts = materialize(
-        coded.select(
-            "doc",
-            "line",
-            size.alias("size"),
-            F.xxhash64("codes").alias("key_a"),
-            F.xxhash64(F.lit(1), F.col("codes")).alias("key_b"),
-            F.slice("codes", F.lit(1), shared).alias("prefix"),
-            F.when(size > 3, _parity(F.col("words"))).alias("map"),
-        )
-        .groupBy("key_a", "key_b", "size")
-        .agg(F.min(F.struct("doc", "line", "prefix", "map")).alias("at"))
-        .select("size", "at.*")
-    )
-    posted = firsts.select("doc", "line", "size", "map", F.posexplode("prefix").alias("place", "code"))
+def _meet_all(sets: DataFrame, gone: DataFrame) -> DataFrame:
+    """Pairs of every set outside ``gone`` and all earlier ones that may match it."""
+    flagged = sets.where("size > 3").join(gone.withColumn("gone", F.lit(1)), ["doc", "line"], "left")
+    posted = flagged.select("doc", "line", "size", "map", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("place", "code"))
     posted = posted.withColumn("place", F.col("place") + 1)
-    earlier, later = ([F.col(c).alias(f"{side}_{c}") for c in _AT] for side in "ab")
-    by_code = Window.partitionBy("code").orderBy("doc", "line")
-    near = materialize(
-        posted.select(*later, *(F.first(c).over(by_code).alias(f"a_{c}") for c in _AT)).where(_may_match()).select(*_PAIR).distinct()
+    # Both sides are the same rows, so that they are shuffled once; what is gone is left out by a
+    # condition on both, which stays in the join.
+    earlier, later = (posted.select("code", *(F.col(c).alias(f"{side}_{c}") for c in (*_AT, "gone"))) for side in "ab")
+    looks = F.col("b_gone") * F.col("a_size") == 0
+    return earlier.join(later, "code").where(_may_match(F.col("a_place"), F.col("b_place")) & looks).select(*_PAIR).distinct()
+
+
+def _kept(docs: DataFrame) -> DataFrame:
+    """doc and line of every set's first line that resembles no earlier one."""
+    texts = _text(docs)
+    rarity = docs.sparkSession.sparkContext.broadcast(_rarity(texts))
+    lines = texts.mapInArrow(partial(_sets, rarity=rarity), _SET)
+    sets = materialize(
+        lines.groupBy("key_a", "key_b", "size").agg(F.min(F.struct("doc", "line", "map", "least", "prefix")).alias("at")).select("size", "at.*")
     )
-    gone = materialize(_verify(near, lines))
-    still = posted.select("code", *later).join(gone, ["b_doc", "b_line"], "left_anti")
-    rest = materialize(
-        still.join(posted.select("code", *earlier), "code").where(_may_match()).select(*_PAIR).distinct().join(near, _PAIR, "left_anti")
-    )
-    gone = gone.unionByName(_verify(rest, lines))
-    kept = firsts.select("doc", "line").join(gone.toDF("doc", "line"), ["doc", "line"], "left_anti").withColumn("kept", F.lit(True))
-    return (
-        lines.select("doc", "line")
-        .distinct()
-        .join(kept, ["doc", "line"], "left")
-        .select(F.col("doc").alias("doc_id"), "line", F.col("kept").isNull().alias("repeated"))
+    gone = materialize(_verify(materialize(_meet_earliest(sets)), texts))
+    rest = materialize(_meet_all(sets, gone))
+    gone = gone.unionByName(_verify(rest, texts))
+    return sets.select("doc", "line").join(gone, ["doc", "line"], "left_anti")
+
+
+def _removed(docs: DataFrame) -> DataFrame:
+    """doc_id, lines (numbers of those that have words) and kept (of those that stay)."""
+    kept = _kept(docs).groupBy(F.col("doc").alias("of")).agg(F.collect_list("line").alias("kept"))
+    worded = _text(docs).mapInArrow(_worded, "doc long, lines array<int>")
+    worded = worded.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
+    none = F.expr("cast(array() as array<int>)")
+    return worded.join(kept, F.col("doc").eqNullSafe(F.col("of")), "left").select(
+        F.col("doc").alias("doc_id"), "lines", F.coalesce("kept", none).alias("kept")
     )
 
 
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, line (from 0) and repeated of every line that has words."""
+    lines = _removed(docs).select("doc_id", "kept", F.explode("lines").alias("line"))
+    return lines.select("doc_id", "line", (~F.array_contains("kept", F.col("line"))).alias("repeated"))
+
+
 def summary(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (with words), n_removed and the removed line numbers of every document."""
-    found = (
-        repeats(docs)
-        .groupBy("doc_id")
-        .agg(
-            F.count("*").alias("n_lines"),
-            F.sum(F.col("repeated").cast("long")).alias("n_removed"),
-            F.sort_array(F.collect_list(F.when(F.col("repeated"), F.col("line")))).alias("removed"),
-        )
-    )
+    removed = F.array_except("lines", "kept")
+    found = _removed(docs).select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.array_sort(removed).alias("removed"))
+    none = F.expr("cast(array() as array<int>)")
     return (
         docs.select("doc_id")
         .join(found, "doc_id", "left")
         .select(
             "doc_id",
-            F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-            F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-            F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias("removed"),
+            F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+            F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+            F.coalesce("removed", none).alias("removed"),
         )
     )
 
@@ -190,11 +256,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A document that had words and has none left repeats earlier documents as a whole and goes.
     """
     found = (
-        repeats(docs)
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(
-            F.collect_list(F.when(F.col("repeated"), F.col("line"))).alias("_removed"),
-            F.every("repeated").alias("_whole"),
+        _removed(docs)
+        .select(
+            F.col("doc_id").alias("_doc"),
+            F.array_except("lines", "kept").alias("_removed"),
+            ((F.size("kept") == 0) & (F.size("lines") > 0)).alias("_whole"),
         )
         .where(F.size("_removed") > 0)
     )
