@@ -8,8 +8,8 @@ one of ``2**BUCKET_BITS``, so the order is known from a table of fixed size. Lin
 are one set, placed at their first line. Two similar sets share a word in their prefixes, the
 first ``n - ceil(0.8 n) + 1`` words; a pair that shares one is a candidate if the sizes allow the
 similarity (length filter), if the words left after the shared ones could still reach the overlap
-(positional filter), and if the 64-bit parity maps of the sets differ in no more bits than similar
-sets can. All three lose no similar pair. Candidates are verified on their whole sets. Sets of up
+(positional filter), and if the parity maps of the sets (64 bits, 128 or 256 for large sets) differ
+in no more bits than similar sets can. All three lose no similar pair. Candidates are verified on their whole sets. Sets of up
 to three words only match equal ones.
 
 Before the join, sets with the same smallest word under a random order are compared with the
@@ -43,10 +43,14 @@ BUCKET_BITS = 18
 ORDERS = 2
 #: Lines to look up (about 20 bytes each) that may be broadcast; more are shuffled.
 BROADCAST_LINES = 1_000_000
-_AT = ("doc", "line", "size", "place", "map")
+#: Sets above these sizes carry a parity map of 128 and of 256 bits.
+WIDE, WIDEST = 40, 100
+_MAPS = ("map", "map2", "map3", "map4")
+_HUB = ("doc", "line", "size", *_MAPS)
+_AT = (*_HUB, "place")
 _PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
 _BUCKETS = np.uint64((1 << BUCKET_BITS) - 1)
-_SET = "doc long, line int, size int, key_a long, key_b long, map long, least array<long>, prefix array<int>"
+_SET = "doc long, line int, size int, key_a long, key_b long, map long, map2 long, map3 long, map4 long, least array<long>, prefix array<int>"
 
 
 def _text(docs: DataFrame) -> DataFrame:
@@ -94,6 +98,19 @@ def _rarity(docs: DataFrame) -> np.ndarray:
     return ranks
 
 
+def _parity(words: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Parity maps of the sets that begin at ``at``: every word turns over one of 256 bits.
+
+    The quarters are kept folded: the first map is all four over each other (64 bits), the second
+    opens it to 128 bits, the third and fourth to 256; those that a small set needs not are 0.
+    """
+    bit, quarter = np.uint64(1) << (words & np.uint64(63)), (words >> np.uint64(6)) & np.uint64(3)
+    q = [np.bitwise_xor.reduceat(np.where(quarter == np.uint64(k), bit, np.uint64(0)), at) for k in range(4)]
+    wide, widest = size > WIDE, size > WIDEST
+    folded = (q[0] ^ q[1] ^ q[2] ^ q[3], (q[1] ^ q[3]) * wide, q[2] * widest, q[3] * widest)
+    return [m.view(np.int64) for m in folded]
+
+
 def _sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]:
     """The set of every line that has words; columns of ``_SET``."""
     ranks = rarity.value
@@ -118,7 +135,7 @@ def _sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]
             place = np.arange(len(number)) - np.repeat(at, size)
             prefix = (codes[place < np.repeat(shared, size)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             sums = [np.add.reduceat(mix(words + np.uint64(seed)), at).view(np.int64) for seed in (101, 202)]
-            parity = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), at).view(np.int64)
+            maps = _parity(words, at, size)
             least = np.stack([np.minimum.reduceat(mix(words ^ np.uint64(303 + k)), at) + np.uint64(k) for k in range(ORDERS)], 1).view(np.int64)
             least = pa.array(least.ravel()), pa.array(np.arange(len(at) + 1, dtype=np.int32) * ORDERS)
             yield pa.RecordBatch.from_arrays(
@@ -127,11 +144,11 @@ def _sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]
                     pa.array(line[at], pa.int32()),
                     pa.array(size, pa.int32()),
                     *map(pa.array, sums),
-                    pa.array(parity),
+                    *map(pa.array, maps),
                     pa.ListArray.from_arrays(least[1], least[0]),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared)), pa.int32()), pa.array(prefix)),
                 ],
-                ["doc", "line", "size", "key_a", "key_b", "map", "least", "prefix"],
+                ["doc", "line", "size", "key_a", "key_b", *_MAPS, "least", "prefix"],
             )
 
 
@@ -152,7 +169,11 @@ def _may_match(a_place: Column, b_place: Column) -> Column:
     earlier = (F.col("a_doc") < F.col("b_doc")) | ((F.col("a_doc") == F.col("b_doc")) & (F.col("a_line") < F.col("b_line")))
     sizes = 5 * F.least(a, b) >= 4 * F.greatest(a, b)
     left = 1 + F.least(a - a_place, b - b_place)
-    apart = F.bit_count(F.col("a_map").bitwiseXOR(F.col("b_map")))
+    m1, m2, m3, m4 = (F.col(f"a_{m}").bitwiseXOR(F.col(f"b_{m}")) for m in _MAPS)
+    small = F.least(a, b)
+    wide = F.bit_count(m1.bitwiseXOR(m2)) + F.bit_count(m2)
+    widest = F.bit_count(m1.bitwiseXOR(m2).bitwiseXOR(m3)) + F.bit_count(m2.bitwiseXOR(m4)) + F.bit_count(m3) + F.bit_count(m4)
+    apart = F.when(small > WIDEST, widest).when(small > WIDE, wide).otherwise(F.bit_count(m1))
     # Of both sizes together, similar sets share 4/9 at least and differ in 1/9 at most; the maps
     # differ in no more bits than there are differing words.
     return earlier & sizes & (9 * left >= 4 * (a + b)) & (9 * apart <= a + b)
@@ -183,17 +204,17 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _meet_earliest(sets: DataFrame) -> DataFrame:
     """Pairs of each set and the earliest one with the same smallest word under a random order."""
-    keyed = sets.where("size > 3").select(F.explode("least").alias("key"), "doc", "line", "size", "map")
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("doc", "line", "size", "map")).alias("a"), F.count("*").alias("n")).where("n > 1")
-    hubs = hubs.select("key", *(F.col(f"a.{c}").alias(f"a_{c}") for c in ("doc", "line", "size", "map")))
-    later = keyed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("doc", "line", "size", "map")))
+    keyed = sets.where("size > 3").select(F.explode("least").alias("key"), *_HUB)
+    hubs = keyed.groupBy("key").agg(F.min(F.struct(*_HUB)).alias("a"), F.count("*").alias("n")).where("n > 1")
+    hubs = hubs.select("key", *(F.col(f"a.{c}").alias(f"a_{c}") for c in _HUB))
+    later = keyed.select("key", *(F.col(c).alias(f"b_{c}") for c in _HUB))
     return later.join(hubs, "key").where(_may_match(F.lit(1), F.lit(1))).select(*_PAIR).distinct()
 
 
 def _meet_all(sets: DataFrame, gone: DataFrame) -> DataFrame:
     """Pairs of every set outside ``gone`` and all earlier ones that may match it."""
     flagged = sets.where("size > 3").join(gone.withColumn("gone", F.lit(1)), ["doc", "line"], "left")
-    posted = flagged.select("doc", "line", "size", "map", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("place", "code"))
+    posted = flagged.select(*_HUB, F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("place", "code"))
     posted = posted.withColumn("place", F.col("place") + 1)
     # Both sides are the same rows, so that they are shuffled once; what is gone is left out by a
     # condition on both, which stays in the join.
@@ -208,7 +229,7 @@ def _kept(docs: DataFrame) -> DataFrame:
     rarity = docs.sparkSession.sparkContext.broadcast(_rarity(texts))
     lines = texts.mapInArrow(partial(_sets, rarity=rarity), _SET)
     sets = materialize(
-        lines.groupBy("key_a", "key_b", "size").agg(F.min(F.struct("doc", "line", "map", "least", "prefix")).alias("at")).select("size", "at.*")
+        lines.groupBy("key_a", "key_b", "size").agg(F.min(F.struct("doc", "line", *_MAPS, "least", "prefix")).alias("at")).select("size", "at.*")
     )
     gone = materialize(_verify(materialize(_meet_earliest(sets)), texts))
     rest = materialize(_meet_all(sets, gone))
