@@ -216,10 +216,10 @@ def _meet_all(sets: DataFrame, gone: DataFrame) -> DataFrame:
     flagged = sets.where("size > 3").join(gone.withColumn("gone", F.lit(1)), ["doc", "line"], "left")
     posted = flagged.select(*_HUB, F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("place", "code"))
     posted = posted.withColumn("place", F.col("place") + 1)
-    # Both sides are the same rows, so that they are shuffled once; what is gone is left out by a
-    # condition on both, which stays in the join.
+    # Both sides have the same rows and columns, so that they are shuffled once; what is gone is
+    # left out by a condition on both sides, which stays in the join.
     earlier, later = (posted.select("code", *(F.col(c).alias(f"{side}_{c}") for c in (*_AT, "gone"))) for side in "ab")
-    looks = F.col("b_gone") * F.col("a_size") == 0
+    looks = F.col("b_gone") * (1 + F.col("a_gone")) == 0
     return earlier.join(later, "code").where(_may_match(F.col("a_place"), F.col("b_place")) & looks).select(*_PAIR).distinct()
 
 
