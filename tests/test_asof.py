@@ -140,3 +140,15 @@ def test_duplicate_snapshot_keys_are_found(spark):
 def test_month_spine(spark):
     months = [r[0].month for r in asof.month_spine(spark, WINDOW).orderBy(F.col("snapshot_month")).collect()]
     assert months == [1, 2, 3, 4]
+
+
+def test_inflight_keeps_quiet_months(spark):
+    bought = [("a", datetime(2017, 1, 5)), ("b", datetime(2017, 5, 5))]
+    done = [("a", datetime(2017, 2, 10), True), ("b", datetime(2017, 5, 20), False)]
+    got = asof.inflight_vs_resolved(
+        spark.createDataFrame(bought, "order_id string, order_purchase_timestamp timestamp_ntz"),
+        spark.createDataFrame(done, "order_id string, order_delivered_customer_date timestamp_ntz, is_late boolean"),
+        DateWindow("w", date(2017, 1, 1), date(2017, 6, 30)),
+    ).collect()
+    counts = [(r["cutoff_month"].month, r["resolved_orders"], r["inflight_orders"]) for r in sorted(got)]
+    assert counts == [(2, 0, 1), (3, 1, 0), (4, 1, 0), (5, 1, 0), (6, 2, 0)]

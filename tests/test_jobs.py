@@ -53,7 +53,7 @@ def test_preprocessing_survives_saving(spark, matrix, root, tmp_path):
     orders = read_published(spark, root, "orders_analytical")
     a = matrix.preprocessing.transform(orders).orderBy("order_id").collect()
     assert a == loaded.transform(orders).orderBy("order_id").collect()
-    assert loaded.summary() == matrix.preprocessing.summary()
+    assert loaded.manifest() == matrix.preprocessing.manifest()
     with pytest.raises(ValueError):
         loaded.with_threshold(1.0)
     saved = spark.read.text(f"{path}/manifest").first()["value"]

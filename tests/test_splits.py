@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from tidemark.operators import splits
-from tidemark.settings import MARKETPLACE, DateWindow, ModelWindows
+from tidemark.settings import MARKETPLACE, DateWindow, EvaluationLocked, ModelWindows
 
 SCHEMA = "order_id string, order_purchase_timestamp timestamp_ntz, is_late boolean"
 
@@ -79,13 +79,14 @@ def test_empty_window_fails(spark):
 
 def test_evaluation_is_locked_outside_its_readers(spark):
     df = orders(spark, start=datetime(2018, 6, 1))
-    with pytest.raises(splits.EvaluationLocked):
-        splits.evaluation_rows(df, MARKETPLACE)
-    with pytest.raises(splits.EvaluationLocked), splits.evaluation_unlocked("anyone"):
-        pass
-    with splits.evaluation_unlocked("holdout"):
-        assert splits.evaluation_rows(df, MARKETPLACE).count() == 50
-        with pytest.raises(splits.EvaluationLocked), splits.evaluation_unlocked("promote"):
-            pass
-    with pytest.raises(splits.EvaluationLocked):
-        splits.evaluation_rows(df, MARKETPLACE)
+    for reader in ("anyone", "", "tune"):
+        with pytest.raises(EvaluationLocked):
+            splits.evaluation_rows(df, MARKETPLACE, reader)
+        with pytest.raises(EvaluationLocked):
+            MARKETPLACE.named_windows(reader)
+    with pytest.raises(EvaluationLocked):
+        splits.select_window(df, MARKETPLACE.evaluation)
+    assert not hasattr(MARKETPLACE.evaluation, "stop")
+    assert splits.evaluation_rows(df, MARKETPLACE, "holdout").count() == 50
+    with pytest.raises(EvaluationLocked):
+        splits.evaluation_rows(df, MARKETPLACE, "anyone")

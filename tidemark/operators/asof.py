@@ -276,12 +276,14 @@ def inflight_vs_resolved(analytical: DataFrame, outcomes: DataFrame, window: Dat
             F.sum(F.col("resolved") * F.col("late")).alias("resolved_late"),
         )
     )
-    # One row per month.
+    # One row per month of the window, quiet ones too, from the first with an order before it.
+    counted = ("placed", "placed_late", "resolved", "resolved_late")
+    months = month_spine(facts, window).withColumnRenamed("snapshot_month", "month").join(changes, "month", "left")
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = changes.select(
+    totals = months.select(
         F.col("month").alias("cutoff_month"),
-        *[F.sum(c).over(so_far).alias(c) for c in ("placed", "placed_late", "resolved", "resolved_late")],
-    )
+        *[F.sum(F.coalesce(c, F.lit(0))).over(so_far).alias(c) for c in counted],
+    ).where(F.col("placed") > 0)
     inflight = F.col("placed") - F.col("resolved")
     return totals.select(
         "cutoff_month",

@@ -156,7 +156,7 @@ class ScoringModel:
 
     def describe(self) -> dict:
         return {
-            **self.preprocessing.summary(),
+            **self.preprocessing.manifest(),
             "models": {n: float(self.weights[n]) for n in sorted(self.models)},
             "has_calibrator": self.calibrator is not None,
         }

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import ntz
 from tidemark.operators.population import within
 from tidemark.operators.ranking import global_rank
-from tidemark.settings import CV_FOLDS, EARLY_STOPPING_TAIL, PURCHASED_AT, Calendar, DateWindow
+from tidemark.settings import CV_FOLDS, EARLY_STOPPING_TAIL, PURCHASED_AT, Calendar, DateWindow, EvaluationLocked, SealedWindow
 
 TOTAL_ORDER = (PURCHASED_AT, "order_id")
 
 
 def select_window(df: DataFrame, window: DateWindow, column: str = PURCHASED_AT) -> DataFrame:
     """Rows of one window. A partition column ``purchase_month`` is pruned as well."""
+    if isinstance(window, SealedWindow):
+        raise EvaluationLocked("a sealed window is selected by evaluation_rows")
     if column not in df.columns:
         raise KeyError(f"{column!r} is not a column; cannot select {window.name}")
     rows = df.where(within(window, column))
@@ -27,10 +26,10 @@ def select_window(df: DataFrame, window: DateWindow, column: str = PURCHASED_AT)
     return rows
 
 
-def window_label(calendar: Calendar, column: str = PURCHASED_AT) -> Column:
+def window_label(calendar: Calendar, reader: str, column: str = PURCHASED_AT) -> Column:
     """Array of the names of all windows a row falls in (versions overlap)."""
     return F.filter(
-        F.array(*[F.when(within(w, column), F.lit(w.name)) for w in calendar.named_windows()]),
+        F.array(*[F.when(within(w, column), F.lit(w.name)) for w in calendar.named_windows(reader)]),
         lambda name: name.isNotNull(),
     )
 
@@ -38,7 +37,7 @@ def window_label(calendar: Calendar, column: str = PURCHASED_AT) -> Column:
 def window_counts(df: DataFrame, calendar: Calendar) -> DataFrame:
     """Rows and late rate per window, from one scan."""
     return (
-        df.select("is_late", F.explode(window_label(calendar)).alias("window"))
+        df.select("is_late", F.explode(window_label(calendar, "counts")).alias("window"))
         .groupBy("window")
         .agg(F.count("*").alias("rows"), F.avg(F.col("is_late").cast("int")).alias("late_rate"))
     )
@@ -148,33 +147,6 @@ def require_temporal_order(df: DataFrame, calendar: Calendar, version: str) -> d
     return row
 
 
-class EvaluationLocked(RuntimeError):
-    """The evaluation window was asked for by somebody who may not have it."""
-
-
-#: Jobs that may look at the evaluation window.
-EVALUATION_READERS = frozenset({"holdout", "promote"})
-
-_reader: str | None = None
-
-
-@contextmanager
-def evaluation_unlocked(reader: str) -> Iterator[None]:
-    """Open the evaluation window for one named reader; not nestable, closes on any exit."""
-    global _reader
-    if reader not in EVALUATION_READERS:
-        raise EvaluationLocked(f"{reader!r} may not read the evaluation window")
-    if _reader is not None:
-        raise EvaluationLocked(f"already open for {_reader!r}")
-    _reader = reader
-    try:
-        yield
-    finally:
-        _reader = None
-
-
-def evaluation_rows(df: DataFrame, calendar: Calendar) -> DataFrame:
-    """Rows of the evaluation window; raises while it is locked."""
-    if _reader is None:
-        raise EvaluationLocked("the evaluation window is locked")
-    return select_window(df, calendar.evaluation)
+def evaluation_rows(df: DataFrame, calendar: Calendar, reader: str) -> DataFrame:
+    """Rows of the evaluation window, for a reader it is open to."""
+    return select_window(df, calendar.evaluation.opened_by(reader))

@@ -569,7 +569,7 @@ def history_drift(s: Stage) -> DataFrame:
     " UNION ALL ".join(
         f"""SELECT '{w.name}' AS "window", count(*) AS rows, avg(is_late::INT) AS late_rate FROM t_delivered
             WHERE order_purchase_timestamp >= TIMESTAMP '{w.start}' AND order_purchase_timestamp < TIMESTAMP '{w.stop}'"""
-        for w in STAR.named_windows()
+        for w in STAR.named_windows("counts")
     ),
 )
 def window_counts(s: Stage) -> DataFrame:
@@ -995,8 +995,7 @@ QUERIES["model_selection"] = Query(
 
 
 def _holdout_scores(s: Stage, name: str, column: str) -> DataFrame:
-    with splits.evaluation_unlocked("holdout"):
-        rows = splits.evaluation_rows(s.scored, STAR)
+    rows = splits.evaluation_rows(s.scored, STAR, "holdout")
     frame = rows.select(*splits.TOTAL_ORDER, "label", F.col(column).alias("score"))
     areas = metrics.areas(metrics.ranking_curve(frame))
     return areas.select(
