@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import geo_source, in_bounds
-from tidemark.operators.quantiles import ROWS_IN_ONE_TASK, quantiles_by_running_totals, split_by_size
+from tidemark.operators.quantiles import quantiles_by_running_totals
 from tidemark.operators.ranking import dominant
 
 LAT, LNG = "geolocation_lat", "geolocation_lng"
+AXES = {"lat": LAT, "lng": LNG}
 
 
 def points_in_bounds(geolocation: DataFrame) -> DataFrame:
@@ -26,34 +27,21 @@ def bounds_report(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def _centroids(points: DataFrame, key: str, rows_in_one_task: int, with_state: bool) -> DataFrame:
-    """Median point, point count and (for zips) the most frequent state, per key.
+def _medians(points: DataFrame, key: str) -> DataFrame:
+    """Median point and point count per key.
 
-    One grouping for all keys that fit one task. A key with more points than that has its
-    medians read off running totals and its state counted per (key, state) first.
+    Both axes share one range shuffle, so that a key with any number of points is split by value.
     """
-    small, large = split_by_size(points, [key], rows_in_one_task)
-    facts = [
-        F.percentile(LAT, 0.5).alias("lat"),
-        F.percentile(LNG, 0.5).alias("lng"),
-        F.count("*").alias("n_points"),
-    ]
-    if with_state:
-        facts.append(F.mode("state", True).alias("state"))
-    out = small.groupBy(key).agg(*facts)
-    if large is None:
-        return out
-
-    lat = quantiles_by_running_totals(large, [key], LAT, {"lat": 0.5})
-    lng = quantiles_by_running_totals(large, [key], LNG, {"lng": 0.5})
-    counts = large.groupBy(key).agg(F.count("*").alias("n_points"))
-    hot = lat.join(lng, key).join(counts, key)
-    if with_state:
-        hot = hot.join(dominant(large, [key], "state", F.count("*"), "state"), key)
-    return out.unionByName(hot)
-
-
-def zip_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
+    axes = points.select(
+        key,
+        F.inline(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(c).alias("degrees")) for a, c in AXES.items()])),
+    )
+    medians = quantiles_by_running_totals(axes, [key, "axis"], "degrees", {"median": 0.5})
+    wide = medians.groupBy(key).agg(*[F.max(F.when(F.col("axis") == a, F.col("median"))).alias(a) for a in AXES])
+    return wide.join(points.groupBy(key).agg(F.count("*").alias("n_points")), key)
+
+
+def zip_centroids(geolocation: DataFrame) -> DataFrame:
     """Median point per zip prefix, with the most frequent state (ties: smallest)."""
     points = points_in_bounds(geolocation).select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
@@ -61,14 +49,15 @@ def zip_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TA
         LAT,
         LNG,
     )
-    return _centroids(points, "zip_code_prefix", rows_in_one_task, True).select(
+    states = dominant(points, ["zip_code_prefix"], "state", F.count("*"), "state")
+    return _medians(points, "zip_code_prefix").join(states, "zip_code_prefix", "left").select(
         "zip_code_prefix", "lat", "lng", "state", "n_points"
     )
 
 
-def state_centroids(geolocation: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
+def state_centroids(geolocation: DataFrame) -> DataFrame:
     points = points_in_bounds(geolocation).select(F.col("geolocation_state").alias("state"), LAT, LNG)
-    return _centroids(points, "state", rows_in_one_task, False).select("state", "lat", "lng", "n_points")
+    return _medians(points, "state")
 
 
 def locate(

@@ -9,12 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import running_totals
-from tidemark.session import materialize
-
-#: Largest group the built-in ``percentile`` may hold in one task. Its buffer keeps every distinct
-#: value of the group; beyond this the group's order statistics are found by running totals.
-ROWS_IN_ONE_TASK = 2_000_000
-
 
 def _interpolated(probability: float, n: Column) -> tuple[Column, Column, Column]:
     position = F.lit(float(probability)) * (n - 1)
@@ -23,15 +17,19 @@ def _interpolated(probability: float, n: Column) -> tuple[Column, Column, Column
 
 
 def quantiles_by_running_totals(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: Mapping[str, float]
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Mapping[str, float], few_groups: bool = False
 ) -> DataFrame:
-    """Order statistics read off the running count of (group, value) pairs."""
+    """Order statistics read off the running count of (group, value) pairs.
+
+    ``few_groups`` says that the groups are a fixed small set, such as columns; their totals are
+    then broadcast, since all rows of a group would meet in one task otherwise.
+    """
     pairs = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n"))
     counted = running_totals(pairs, [*groups, value], {"_n": F.col("_n")})
     stats = counted.groupBy(*groups).agg(
         F.min("_n_before").alias("_start"), F.sum("_n").alias("_total")
     )
-    placed = counted.join(stats, list(groups))
+    placed = counted.join(F.broadcast(stats) if few_groups else stats, list(groups))
     first, past = F.col("_n_before") - F.col("_start"), F.col("_n_upto") - F.col("_start")
 
     picks, covers = [], []
@@ -54,66 +52,30 @@ def quantiles_by_running_totals(
     )
 
 
-def split_by_size(
-    df: DataFrame, groups: Sequence[str], rows_in_one_task: int = ROWS_IN_ONE_TASK
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of groups one task can hold, and rows of larger groups (usually none).
-
-    Counting the groups is one pass over the group columns, reduced before its shuffle.
-    """
-    large = df.groupBy(*groups).count().where(F.col("count") > rows_in_one_task).drop("count")
-    if large.isEmpty():
-        return df, None
-    large = materialize(large)
-    return df.join(large, list(groups), "left_anti"), df.join(large, list(groups), "left_semi")
-
-
 def grouped_quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    probabilities: Mapping[str, float],
-    rows_in_one_task: int = ROWS_IN_ONE_TASK,
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Mapping[str, float]
 ) -> DataFrame:
     """Quantiles of ``value`` per group (at least one group column); empty groups are absent."""
-    rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias(value))
-    cold, hot = split_by_size(rows, groups, rows_in_one_task)
-    out = cold.groupBy(*groups).agg(*[F.percentile(value, float(p)).alias(n) for n, p in probabilities.items()])
-    if hot is None:
-        return out
-    return out.unionByName(quantiles_by_running_totals(hot, groups, value, probabilities))
+    rows = df.select(*groups, F.col(value).cast("double").alias(value))
+    return quantiles_by_running_totals(rows, groups, value, probabilities)
 
 
-def quantile_list(
-    df: DataFrame, column: str, probabilities: Sequence[float], rows_in_one_task: int = ROWS_IN_ONE_TASK
-) -> list[float]:
+def quantile_list(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float | None]:
     """Several quantiles of one column over the whole frame, as driver-side numbers."""
     values = df.select(F.lit(0).alias("all"), F.col(column).cast("double").alias("value"))
-    if values.count() <= rows_in_one_task:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        return list(values.agg(F.percentile("value", wanted)).first()[0])
     names = {f"q{i}": p for i, p in enumerate(probabilities)}
-    row = quantiles_by_running_totals(values, ["all"], "value", names).first()
-    return [row[name] for name in names]
+    row = quantiles_by_running_totals(values, ["all"], "value", names, few_groups=True).first()
+    return [row[name] if row else None for name in names]
 
 
-def column_quantiles(
-    df: DataFrame, wanted: Mapping[str, float], rows_in_one_task: int = ROWS_IN_ONE_TASK
-) -> dict[str, float | None]:
+def column_quantiles(df: DataFrame, wanted: Mapping[str, float]) -> dict[str, float | None]:
     """One quantile per numeric column over the whole frame, as driver-side numbers."""
     columns = list(wanted)
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    # All columns share one task's memory on the short path.
-    if doubles.count() * len(columns) <= rows_in_one_task:
-        row = doubles.agg(*[F.percentile(c, float(p)).alias(c) for c, p in wanted.items()]).first()
-        return {c: row[c] for c in columns}
-
     # One long (column, value) frame, so all columns share a single range shuffle.
     long = doubles.unpivot([], columns, "column", "value")
-    out: dict[str, float | None] = dict.fromkeys(columns)
-    for probability in sorted(set(wanted.values())):
-        names = [c for c in columns if wanted[c] == probability]
-        part = long.where(F.col("column").isin(names))
-        for row in quantiles_by_running_totals(part, ["column"], "value", {"q": probability}).collect():
-            out[row["column"]] = row["q"]
-    return out
+    names = {f"q{i}": p for i, p in enumerate(sorted(set(wanted.values())))}
+    named = {p: name for name, p in names.items()}
+    rows = quantiles_by_running_totals(long, ["column"], "value", names, few_groups=True).collect()
+    found = {r["column"]: r for r in rows}
+    return {c: found[c][named[p]] if c in found else None for c, p in wanted.items()}

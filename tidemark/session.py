@@ -78,17 +78,3 @@ def materialize(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of a few files as many tasks as there are cores; leave a large scan alone.
-
-    A file of one row group is one task however many cores wait. Catalyst's size estimate of the
-    scan says how many splits it will make; only where that is less than the cluster's
-    parallelism are the rows dealt out evenly, which is cheap at that size.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    cores = spark.sparkContext.defaultParallelism
-    return df if size > split * cores else df.repartition(cores)
