@@ -186,6 +186,41 @@ def test_decontamination(spark, docs, texts):
     assert any(r["n_hit"] for r in got.values())
 
 
+def test_automaton_belongs_to_its_broadcast():
+    """A broadcast that is dropped leaves its address to the next one."""
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    for k in range(20):
+        sent = Sent([(str(k), f"word{k}")])
+        found = decontamination.find(decontamination._automaton(sent, 10), [f"word{k}".encode()])
+        assert found == ([[0, 1]], {str(k)})
+        del sent
+
+
+def test_decontamination_blocks_over_many_tasks():
+    """Four blocks and 30 tasks in a session of their own, whose Python workers are used again."""
+    import subprocess
+    import sys
+
+    script = """
+from pyspark.sql import functions as F
+from tidemark.llm import decontamination
+from tidemark.session import local_session
+
+spark = local_session("blocks", 4, 4)
+docs = spark.range(0, 600, 1, 30).select(F.col("id").alias("doc_id"), F.concat(F.lit("item"), F.col("id") % 40, F.lit(" and item"), (F.col("id") + 1) % 40).alias("text"))
+bench = spark.createDataFrame([(str(i), f"item{i}") for i in range(40)], "item_id string, text string")
+for block in (35, 70):
+    for r in decontamination.contamination(docs, bench, block=block).collect():
+        assert r["items"] == sorted(str((r["doc_id"] + k) % 40) for k in (0, 1)) and r["n_hit"] == 2, (block, r)
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def _feasible(sizes, capacity, shards):
     used, room = 1, capacity
     for s in sizes:

@@ -7,7 +7,8 @@ words, or all words of a shorter item.
 
 The automaton is built on each executor from the windows of the benchmark, which go out in blocks
 of about ``BLOCK_WINDOWS``; a larger benchmark takes one scan per block, and the spans of all
-blocks are united per document, in one stage.
+blocks are united per document. Each scan but the last is written before the next one, so that a
+task holds one automaton at a time.
 
 Defined results: null text, and text without words, has 0 words and no hit; an item without words
 occurs nowhere; equal items with different ids all count; repeated item rows count once; repeated
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import ALNUM, FOLD, word_spans
+from tidemark.session import materialize
 
 WIDTH = 10
 #: Windows in one automaton; about 100 bytes of patterns each.
 BLOCK_WINDOWS = 1_000_000
 _CLEAN = bytes(np.where(ALNUM, FOLD, 0x20).astype(np.uint8))
-_built: dict[int, ahocorasick.Automaton] = {}
+#: The last broadcast with its width and automaton. The broadcast is kept, so no other one can take its place in memory.
+_built: list[tuple[object, int, ahocorasick.Automaton]] = []
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -65,11 +68,10 @@ def build(items: list[tuple[str, str]], width: int) -> ahocorasick.Automaton:
 
 def _automaton(items, width: int) -> ahocorasick.Automaton:
     """One automaton a worker process and broadcast."""
-    key = id(items)
-    if key not in _built:
+    if not _built or _built[0][0] is not items or _built[0][1] != width:
         _built.clear()
-        _built[key] = build(items.value, width)
-    return _built[key]
+        _built.append((items, width, build(items.value, width)))
+    return _built[0][2]
 
 
 def find(automaton: ahocorasick.Automaton, words: list[bytes]) -> tuple[list[list[int]], set[str]]:
@@ -151,6 +153,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, blo
         mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).collect()
         sent = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in mine])
         out = out.mapInArrow(partial(_scan, items=sent, width=width, again=number > 0), schema)
+        if number < blocks - 1:
+            out = materialize(out)
     return out.withColumn("n_hit", F.aggregate("hit_words", F.lit(0).cast("long"), lambda n, span: n + span[1] - span[0]))
 
 
