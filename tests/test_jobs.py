@@ -1,10 +1,12 @@
 """The whole chain on the small star tables: publish, fit, decide, save, promote, score, stream."""
 
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tidemark.operators import asof, contract, decision
+from tidemark.operators import asof, contract, decision, learning
 from tidemark.operators.features import FEATURES, RAW_INPUTS, construct_features
 from tidemark.operators.preprocessing import PreprocessingModel
 from tidemark.operators.scoring import ScoringModel, require_batch_size, route_records
@@ -151,6 +153,33 @@ def test_review_impact(spark, root):
     assert {r["is_late"] for r in rows} == {True, False} and all(r["with_review"] < r["orders"] for r in rows)
 
 
+def test_attributions_cover_all_fit_rows(matrix):
+    out = jobs.explain_job(matrix)
+    assert out["attributions"].count() == matrix.fit_rows().count()
+
+
+def test_search_has_no_time_cap_unless_asked(matrix, monkeypatch, caplog):
+    from itertools import count
+
+    assert inspect.signature(jobs.tune_job).parameters["timeout_seconds"].default is None
+    clock = count(0, 10_000)
+    monkeypatch.setattr(learning.time, "monotonic", lambda: next(clock))
+    monkeypatch.setattr(learning, "cross_validate", lambda *_: [0.5])
+    args = ("gbt", matrix.rows, matrix.preprocessing.levels, 2, 3)
+    assert not learning.search(*args)[0].timed_out and not caplog.records
+    assert learning.search(*args, 900.0)[0].trials_completed == 1 and "time cap" in caplog.text
+
+
+def test_queries_use_the_production_defaults():
+    """Folds, features, grid steps and boosting rounds are those of the operators."""
+    from tidemark.plans import catalog
+
+    text = {n: inspect.getsource(getattr(catalog, n)) for n in ("boosted_tree_scores", "cross_validation", "blend_verdict", "permutation_importance")}
+    assert "maxIter" not in text["boosted_tree_scores"] and "steps=" not in text["blend_verdict"]
+    assert "CV_FOLDS" in text["cross_validation"] and '"gbt"' in text["cross_validation"]
+    assert "features.FEATURES" in text["permutation_importance"]
+
+
 def test_linear_attributions_add_up_to_the_margin(matrix):
     out = jobs.explain_job(matrix, 50)
     assert out["attributions"].count() == 50

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # Features expected to lead a ranking, and those whose lead is suspicious.
 EXPECTED_LEADERS = ("promised_days", "seller_late_rate_hist", "haversine_km")
 SUSPICIOUS_LEADERS = ("seller_late_rate_hist", "route_late_rate_hist")
-SAMPLE_ROWS = 2000
 
 
 def linear_attributions(

@@ -39,7 +39,7 @@ from tidemark.operators.ranking import global_rank
 from tidemark.plans.oracle import NUMERIC, sql_for
 from tidemark.plans.portable import portable
 from tidemark.session import configure, materialize, scratch_folder
-from tidemark.settings import ENTITIES, GATE, LEVELS, PURCHASED_AT, STAR
+from tidemark.settings import CV_FOLDS, ENTITIES, GATE, LEVELS, PURCHASED_AT, STAR
 from tidemark.sources.star import STAR_REGIONS, StarTables
 
 
@@ -1216,7 +1216,7 @@ def isotonic_calibration(s: Stage) -> DataFrame:
 def blend_verdict(s: Stage) -> DataFrame:
     names = ["s_buyer", "s_hash", "s_promise"]
     scored = materialize(s.scored)
-    verdict = decision.evaluate_blend(scored, decision.fit_blend_weights(scored, names, steps=6, rounds=2))
+    verdict = decision.evaluate_blend(scored, decision.fit_blend_weights(scored, names))
     row = (*[verdict.weights[f"s_{n}"] for n in ("hash", "promise", "buyer")], verdict.blend_pr_auc, verdict.delta, verdict.ship_blend)
     return s.spark.createDataFrame(
         [row],
@@ -1249,19 +1249,19 @@ def logistic_scores(s: Stage) -> DataFrame:
 
 @query("order_id:s score:f")
 def boosted_tree_scores(s: Stage) -> DataFrame:
-    return _family_scores(s, "gbt", {"maxIter": 5, "maxDepth": 3})
+    return _family_scores(s, "gbt", {})
 
 
 @query("model:s fold:i pr_auc:f base_rate:f lift:f")
 def cross_validation(s: Stage) -> DataFrame:
     fit, _ = _fit_and_calibrate(s)
     ranked, n = splits.ranked_in_time(fit)
-    folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, 2)))
+    folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, CV_FOLDS)))
     rates = [r[0] for r in folded.where("fold > 0").groupBy("fold").agg(F.avg("label")).orderBy("fold").select("avg(label)").collect()]
     levels = s.preprocessor.levels
     scores = {
-        "majority": learning.cross_validate(folded, learning.majority_fitter(), 2),
-        "logistic": learning.cross_validate(folded, learning.family_fitter("logistic", levels), 2),
+        "majority": learning.cross_validate(folded, learning.majority_fitter(), CV_FOLDS),
+        **{f: learning.cross_validate(folded, learning.family_fitter(f, levels), CV_FOLDS) for f in ("logistic", "gbt", "forest")},
     }
     return learning.comparison_report(scores, rates, folded)
 
@@ -1270,7 +1270,7 @@ def cross_validation(s: Stage) -> DataFrame:
 def permutation_importance(s: Stage) -> DataFrame:
     fit, calibrate = _fit_and_calibrate(s)
     model = learning.fit_model("logistic", fit, s.preprocessor.levels)
-    return learning.permutation_importance(model, calibrate, ["promised_days", "haversine_km"], "order_id")
+    return learning.permutation_importance(model, calibrate, features.FEATURES, "order_id")
 
 
 def _scoring_model(s: Stage) -> scoring.ScoringModel:

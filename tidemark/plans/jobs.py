@@ -161,11 +161,12 @@ class Tuned:
 def tune_job(
     matrix: Matrix,
     families: tuple[str, ...] = ("gbt", "forest"),
-    trials: int = 8,
-    timeout_seconds: float = 900.0,
+    trials: int = 40,
+    timeout_seconds: float | None = None,
     folds: int = CV_FOLDS,
 ) -> Tuned:
-    """Baselines and searched families on the same folds of the fit window."""
+    """Baselines and searched families on the same folds of the fit window. A time cap makes the
+    parameters depend on the machine; when it strikes, that is logged."""
     ranked, n = splits.ranked_in_time(matrix.fit_rows())
     folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, folds)))
     levels = matrix.preprocessing.levels
@@ -423,8 +424,9 @@ def holdout_reference(
     return out
 
 
-def explain_job(matrix: Matrix, sample: int = explain.SAMPLE_ROWS) -> dict[str, DataFrame]:
-    """Attributions of a seeded sample under the linear model: ranking, additivity and alarms.
+def explain_job(matrix: Matrix, sample: int | None = None) -> dict[str, DataFrame]:
+    """Attributions of all fit rows under the linear model: ranking, additivity and alarms.
+    ``sample`` asks for a seeded sample of so many rows instead.
 
     Attributions of a row plus the base add up to the model's own margin; the gap says by how
     much they fail to.
@@ -432,7 +434,7 @@ def explain_job(matrix: Matrix, sample: int = explain.SAMPLE_ROWS) -> dict[str,
     fit_rows = materialize(matrix.fit_rows())
     model = learning.fit_model("logistic", fit_rows, matrix.preprocessing.levels)
     parts, intercept = learning.linear_contributions(model, matrix.preprocessing.levels)
-    rows = materialize(profile.seeded_sample(fit_rows, "order_id", sample))
+    rows = fit_rows if sample is None else materialize(profile.seeded_sample(fit_rows, "order_id", sample))
     contributions = materialize(rows.select("order_id", *[c.alias(f) for f, c in parts.items()]))
     names = list(parts)
     attributions, shift = explain.centred(contributions, names, ["order_id"])
