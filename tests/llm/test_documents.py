@@ -287,6 +287,30 @@ def test_surrogates(spark):
     assert surrogates.pseudonymize(docs, "other").where("doc_id = 0").first()["text"] != new[0]
 
 
+def test_surrogates_of_one_entity_in_several_layouts(spark):
+    secret = "9233a8ecf7c5" + "0a1b2c3d" * 3 + "0f0f"
+    texts = [
+        f"{secret} {secret.upper()} {secret[:20].upper()}{secret[20:]}",
+        "4111 1111 1111 1111, 4111-1111-1111-1111, 4111111111111111",
+        "(803) 555-5351, 803-555-5351, 803.555.5351",
+        "Anna.B@Example.com anna.b@example.com",
+        "Mr. John Smith, Mr Smith, Mr. Smith, Mrs. Jane Smith, Mr. Jack Smith, Mr John Smith",
+    ]
+    rows = {r["doc_id"] // 7: r for r in surrogates.pseudonymize(table(spark, texts), "k").collect()}
+    assert [rows[i]["n_found"] for i in range(5)] == [3, 3, 3, 2, 6]
+    low, up, mixed = rows[0]["text"].split()
+    assert low == low.lower() != secret and up == low.upper() and mixed.lower() == low and len(low) == len(secret)
+    for i, shape in ((1, ["dddd dddd dddd dddd", "dddd-dddd-dddd-dddd", "d" * 16]), (2, ["(ddd) ddd-dddd", "ddd-ddd-dddd", "ddd.ddd.dddd"])):
+        got = rows[i]["text"].split(", ")
+        assert ["".join("d" if c.isdigit() else c for c in t) for t in got] == shape
+        assert len({"".join(c for c in t if c.isdigit()) for t in got}) == 1
+    first, second = rows[3]["text"].split()
+    assert first.lower() == second and first[0].isupper() and second.islower()
+    john, bare, dotted, jane, jack, again = (t.split() for t in rows[4]["text"].split(", "))
+    assert {t[-1] for t in (john, bare, dotted, jane, jack, again)} == {john[2]} and john[2] != "Smith"
+    assert john[1] == again[1] != jack[1] and [bare[0], dotted[0], again[0]] == ["Mr", "Mr.", "Mr"]
+
+
 def test_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([(f"Mr. A{chr(97 + i % 26)}{chr(97 + i // 26)} B", "name") for i in range(300)], "entity string, kind string")
     rows = surrogates.assign(entities, "k").collect()
