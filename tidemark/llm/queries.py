@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, fingerprint, language, lines, minhash, packing, preferences, quality, sharding, surrogates
+from tidemark.llm import decontamination, fingerprint, language, lines, minhash, packing, phrases, preferences, quality, sharding, surrogates, toxicity, variants
 from tidemark.llm.oracles import ORACLES
 
 #: Key of the surrogates in the registered query; a job brings its own secret.
@@ -103,6 +103,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the held-out fold teach nothing."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = _table(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.fit(docs, known))
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language,
         op10_sharding,
+        op11_phrases,
+        op12_toxicity,
+        op13_variants,
     )
 }
 
