@@ -69,4 +69,36 @@ SELECT pair_id, any_value(n_common) AS n_common,
 FROM laid GROUP BY pair_id
 """
 
-ORACLES: dict[str, str] = {"op2_preferences": _PREFERENCES, "op8_decontamination": _DECONTAMINATION}
+_PHRASES = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM texts),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS size)),
+runs AS (SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS uses FROM starts GROUP BY ALL HAVING count(*) >= 30),
+phrases AS (SELECT lang, size, phrase, uses AS a, string_split(phrase, ' ') AS words FROM runs WHERE size > 1),
+cuts AS (
+  SELECT lang, size, phrase, words, a, k, array_to_string(words[1 : k], ' ') AS head, array_to_string(words[k + 1 : size], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM phrases)
+),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.words, c.a, h.uses AS l, t.uses AS r, k, ((2000000::HUGEINT * c.a) // (h.uses + t.uses))::BIGINT AS score
+  FROM cuts c JOIN runs h ON h.lang = c.lang AND h.phrase = c.head JOIN runs t ON t.lang = c.lang AND t.phrase = c.rest
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_runs AS (
+  SELECT lang, a, array_to_string(words[i : i + width - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - width + 2)) AS i FROM phrases JOIN (SELECT unnest([2, 3]) AS width) ON width < size)
+),
+around AS (SELECT lang, phrase, max(a) AS a FROM inner_runs GROUP BY ALL),
+kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN around USING (lang, phrase) WHERE around.a IS NULL OR 100 * around.a < 80 * lowest.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op2_preferences": _PREFERENCES, "op8_decontamination": _DECONTAMINATION, "op11_phrases": _PHRASES}

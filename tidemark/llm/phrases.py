@@ -10,12 +10,12 @@ Equal chunks of a language are one dictionary entry with a frequency, so a passa
 any number of times is read once from there on. Runs are counted in distinct chunks, weighted by
 frequency, in three scans of the dictionary:
 
-* hashes of one and two words, summed by hash;
-* hashes of longer runs all of whose pairs may be frequent;
+* hashes of pairs of words, summed by hash;
+* hashes of longer runs all of whose pairs may be frequent, and of the words of such pairs;
 * the runs that may be frequent themselves, as strings; these counts are exact.
 
-What may be frequent goes to the scans as bitmaps of 2**BITMAP_BITS bits. A hash collision lets a
-run through that is then counted by its string and dropped. If more runs are frequent than
+What may be frequent goes to the scans as bitmaps of 2**BITMAP_BITS bits, two of which a hash
+sets. A hash collision lets a run through that is then counted by its string and dropped. If more runs are frequent than
 a bitmap holds well, the scan is made in several slices of the hash range, each with its own
 bitmap; the result is the same.
 
@@ -50,8 +50,12 @@ SCALE = 2_000_000
 #: One trigger in so many runs of words.
 SPACING = 16
 BITMAP_BITS = 26
+#: Where in a hash its two bits of the bitmap are named.
+_SHIFTS = (0, 64 - BITMAP_BITS)
+#: The bits above this one decide the slice.
+_SLICED = 20
 #: Entries a bitmap takes; beyond, the hash range is sliced.
-BITMAP_ENTRIES = 1 << (BITMAP_BITS - 2)
+BITMAP_ENTRIES = 1 << (BITMAP_BITS - 3)
 #: Parts in which each language's first rows are found before they meet.
 PARTS = 32
 #: Hashes that a task holds before it sums them up.
@@ -160,6 +164,10 @@ class _Block:
         self.lang = codes[names.indices.to_numpy()][self.chunk] if len(raw) else codes
         self.hashes = hash_spans(data, self.starts, self.ends, fold=False)
 
+    def singles(self) -> np.ndarray:
+        """Hashes of all words with the language, those of the overlap too."""
+        return mix(_runs(self.hashes, 1) ^ self.lang)
+
     def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Where runs of ``width`` words begin that the chunk owns, and their hashes with the language."""
         runs = _runs(self.hashes, width)
@@ -174,8 +182,8 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[_Block]:
 
 
 class Bitmap:
-    """A fixed number of bits; a hash is in if the bit it names is set. Only hashes whose residue
-    is ``slice`` of ``slices`` belong to it."""
+    """A fixed number of bits; a hash is in if the two bits it names are set. Only hashes whose
+    residue is ``slice`` of ``slices`` belong to it."""
 
     def __init__(self, words: np.ndarray, slice: int, slices: int):
         self.words, self.slice, self.slices = words, slice, slices
@@ -183,22 +191,25 @@ class Bitmap:
     def mine(self, hashes: np.ndarray) -> np.ndarray:
         if self.slices == 1:
             return np.ones(len(hashes), bool)
-        return (hashes >> np.uint64(40)) % np.uint64(self.slices) == np.uint64(self.slice)
+        return (hashes >> np.uint64(_SLICED)) % np.uint64(self.slices) == np.uint64(self.slice)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        bit = hashes & np.uint64((1 << BITMAP_BITS) - 1)
-        return (self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        found = np.ones(len(hashes), bool)
+        for shift in _SHIFTS:
+            bit = (hashes >> np.uint64(shift)) & np.uint64((1 << BITMAP_BITS) - 1)
+            found &= (self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return found
 
 
 def _bitmaps(hashes: DataFrame) -> Iterator[Bitmap]:
     """Bitmaps that together hold all of ``hashes`` (hash)."""
     slices = max(1, -(-hashes.count() // BITMAP_ENTRIES))
     for number in range(slices):
-        residue = F.shiftrightunsigned("hash", 40) % slices == number
-        place = F.col("hash").bitwiseAND((1 << BITMAP_BITS) - 1)
-        words = hashes.where(residue).groupBy(F.shiftright(place, 6).alias("word"))
+        mine = hashes.where(F.pmod(F.shiftrightunsigned("hash", _SLICED), F.lit(slices)) == number)
+        bits = F.array(*(F.shiftrightunsigned("hash", shift).bitwiseAND((1 << BITMAP_BITS) - 1) for shift in _SHIFTS))
+        words = mine.select(F.explode(bits).alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
         # At most 2**(BITMAP_BITS - 6) rows of 16 bytes, whatever the table's size.
-        rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits")).toArrow()
+        rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
         found = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
         found[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
         yield Bitmap(found, number, slices)
@@ -213,21 +224,27 @@ def _sum_by_hash(hashes: list[np.ndarray], uses: list[np.ndarray]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(every[begin].view(np.int64)), pa.array(sums)], ["hash", "uses"])
 
 
-def _short(block: _Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for width in (1, 2):
-        at, hashes = block.runs(width)
-        yield hashes, block.uses[at]
+def _pairs(block: _Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    at, hashes = block.runs(2)
+    yield hashes, block.uses[at]
 
 
-def _long(block: _Block, pairs: Bitmap) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Runs of three words and more whose pairs may all be frequent, in the slice of their first pair."""
+def _others(block: _Block, pairs, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of three words and more whose pairs may all be frequent, in the slice of their first
+    pair; and the words of frequent pairs, which are as frequent, once a block."""
+    bitmap = pairs.value
     at, hashes = block.runs(2)
-    first, may = np.zeros(len(block.starts) + LONGEST, bool), np.zeros(len(block.starts) + LONGEST, bool)
-    mine = pairs.mine(hashes)
-    first[at] = mine & pairs.has(hashes)
+    mine, has = bitmap.mine(hashes), bitmap.has(hashes)
+    first = np.zeros(len(block.starts) + LONGEST, bool)
+    first[at] = mine & has
     # A pair of another slice, or in the overlap, is not known to be rare here.
-    may[:] = True
-    may[at] = ~mine | pairs.has(hashes)
+    may = np.ones(len(block.starts) + LONGEST, bool)
+    may[at] = ~mine | has
+    parts = np.zeros(len(block.starts) + 1, bool)
+    parts[:-1] = first[: len(block.starts)]
+    parts[1:] |= first[: len(block.starts)]
+    words = np.unique(block.singles()[parts[:-1]])
+    yield words, np.full(len(words), least, np.int64)
     for width in range(3, LONGEST + 1):
         begins, hashes = block.runs(width)
         kept = first[begins]
@@ -260,10 +277,6 @@ def _frequent(chunks: DataFrame, of, least: int) -> DataFrame:
     return counted.groupBy("hash").agg(F.sum("uses").alias("uses")).where(F.col("uses") >= least).select("hash")
 
 
-def _long_of(block: _Block, pairs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    return _long(block, pairs.value)
-
-
 def _spelt(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
     """Runs that may be frequent, as strings with their uses."""
     bitmap = frequent.value
@@ -293,10 +306,11 @@ def _spelt(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBat
 def frequent_runs(chunks: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, size, phrase and uses of all runs of 1 to LONGEST words used ``least`` times or more."""
     spark = chunks.sparkSession
-    frequent = materialize(_frequent(chunks, _short, least))
-    for pairs in _bitmaps(frequent):
-        sent = spark.sparkContext.broadcast(pairs)
-        frequent = frequent.unionByName(materialize(_frequent(chunks, partial(_long_of, pairs=sent), least)))
+    pairs = materialize(_frequent(chunks, _pairs, least))
+    frequent = pairs
+    for bitmap in _bitmaps(pairs):
+        sent = spark.sparkContext.broadcast(bitmap)
+        frequent = frequent.unionByName(materialize(_frequent(chunks, partial(_others, pairs=sent, least=least), least)))
     out = None
     for bitmap in _bitmaps(frequent):
         sent = spark.sparkContext.broadcast(bitmap)
