@@ -1,12 +1,13 @@
 """The whole chain on the small star tables: publish, fit, decide, save, promote, score, stream."""
 
 import inspect
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tidemark.operators import asof, contract, decision, learning
+from tidemark.operators import asof, contract, decision, learning, versions
 from tidemark.operators.features import FEATURES, RAW_INPUTS, construct_features
 from tidemark.operators.preprocessing import PreprocessingModel
 from tidemark.operators.scoring import ScoringModel, require_batch_size, route_records
@@ -122,15 +123,46 @@ def test_versions_promotion_and_rollback(spark, matrix, decided, root):
     assert jobs.train_job(matrix, decided, root) == ("2", "challenger")
     checks = {r["check"]: r["passed"] for r in jobs.promote_job(spark, STAR, root).collect()}
     assert checks["pr_auc"] is False and checks["brier"] and checks["feature_schema"]
-    events = jobs.version_events(spark, root)
-    assert decision.resolve_version(events, "@champion") == "1"
+    assert versions.resolve(versions.events(spark, root), "@champion") == "1"
     assert jobs.load_version(spark, root, "2")[0] == "2"
-    relaxed = {**GATE, "max_p95_latency_ms": 1e9}
-    jobs.record_events(spark, root, "2", {"alias": "champion"})
-    assert decision.resolve_version(jobs.version_events(spark, root), "@champion") == "2"
-    again = jobs.promote_job(spark, STAR, root, relaxed)
-    assert all(r["passed"] for r in again.collect())  # now uncontested
-    assert spark.read.parquet(f"{root}/{jobs.DECISIONS}").count() == 4 + 3
+    # A weaker bar lets the same model through once.
+    relaxed = {**GATE, "min_delta_pr_auc": -1.0, "max_p95_latency_ms": 1e9}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decision, "check_gate", lambda *_: None)
+        assert all(r["passed"] for r in jobs.promote_job(spark, STAR, root, relaxed).collect())
+    rows = {r["version"]: r for r in jobs.describe_versions(spark, root).collect()}
+    assert rows["2"]["aliases"] == "champion" and rows["2"]["status"] == "champion"
+    assert rows["1"]["aliases"] == "" and rows["1"]["status"] == "archived" and "version 2" in rows["1"]["withdrawn_reason"]
+    assert rows["2"]["evaluation_pr_auc"] != "pending"
+    with pytest.raises(LookupError, match="challenger"):
+        jobs.promote_job(spark, STAR, root)
+    assert spark.read.parquet(f"{root}/{jobs.DECISIONS}").count() == 4 + 4
+    assert spark.read.parquet(f"{root}/{jobs.SUMMARIES}").count() == 2
+
+    jobs.rollback_job(spark, root, "1", "wrong on holidays")
+    rows = {r["version"]: r for r in jobs.describe_versions(spark, root).collect()}
+    assert rows["1"]["aliases"] == "champion" and rows["1"]["withdrawn_reason"] is None
+    assert rows["2"]["status"] == "archived" and "holidays" in rows["2"]["withdrawn_reason"]
+
+    # A challenger of another contract is refused with a record, not with an exception.
+    assert jobs.train_job(matrix, decided, root) == ("3", "challenger")
+    path = f"{jobs.version_path(versions.events(spark, root), '3')}/preprocessing/manifest"
+    saved = json.loads(spark.read.text(path).first()["value"])
+    saved["schema_hash"] = "0" * 64
+    saved["contract"] = [f if f[2] != FEATURES[0] or f[0] != "feature" else [f[0], f[1], "older_name", f[3]] for f in saved["contract"]]
+    spark.createDataFrame([(json.dumps(saved),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    refused = {r["check"]: (r["passed"], r["value"]) for r in jobs.promote_job(spark, STAR, root).collect()}
+    assert refused["feature_schema"] == (False, 3.0)
+    gaps = {r["name"]: (r["saved"] is None, r["current"] is None) for r in spark.read.parquet(f"{root}/{jobs.SCHEMA_GAPS}").collect()}
+    assert gaps == {"hash": (False, False), "older_name": (False, True), FEATURES[0]: (True, False)}
+    assert spark.read.parquet(f"{root}/{jobs.DECISIONS}").where("challenger = '3' AND NOT promoted").count() == 4
+    assert versions.resolve(versions.events(spark, root), "@champion") == "1"
+
+
+def test_preprocessing_summary(matrix):
+    row = matrix.preprocessing.summary().first()
+    assert row["train_rows"] == matrix.preprocessing.train_rows and row["features"] == len(FEATURES)
+    assert row["levels"].keys() == matrix.preprocessing.levels.keys() and row["bundled_rows"] == matrix.preprocessing.bundled.count()
 
 
 def test_batch_and_stream_give_the_same_decisions(spark, decided, root, tmp_path):
@@ -170,16 +202,6 @@ def test_search_has_no_time_cap_unless_asked(matrix, monkeypatch, caplog):
     assert learning.search(*args, 900.0)[0].trials_completed == 1 and "time cap" in caplog.text
 
 
-def test_queries_use_the_production_defaults():
-    """Folds, features, grid steps and boosting rounds are those of the operators."""
-    from tidemark.plans import catalog
-
-    text = {n: inspect.getsource(getattr(catalog, n)) for n in ("boosted_tree_scores", "cross_validation", "blend_verdict", "permutation_importance")}
-    assert "maxIter" not in text["boosted_tree_scores"] and "steps=" not in text["blend_verdict"]
-    assert "CV_FOLDS" in text["cross_validation"] and '"gbt"' in text["cross_validation"]
-    assert "features.FEATURES" in text["permutation_importance"]
-
-
 def test_linear_attributions_add_up_to_the_margin(matrix):
     out = jobs.explain_job(matrix, 50)
     assert out["attributions"].count() == 50

@@ -25,8 +25,11 @@ from tidemark.operators import (
     rollups,
     scoring,
     splits,
+    versions,
 )
+from tidemark.operators.folds import fold_table, majority_folds, usable_rates
 from tidemark.operators.geography import bounds_report, state_centroids, zip_centroids
+from tidemark.operators.isotonic import fit_isotonic, isotonic_blocks
 from tidemark.operators.orders import located_customers, located_sellers, orders_analytical
 from tidemark.operators.preprocessing import (
     HistoryPreprocessor,
@@ -1032,11 +1035,11 @@ def holdout_comparison(s: Stage) -> DataFrame:
     f"""WITH a AS ({HOLDOUT_SQL.format("s_buyer", "buyer")}), b AS ({HOLDOUT_SQL.format("s_promise", "promise")})
         SELECT 0 AS position, 'pr_auc' AS "check", a.pr_auc - b.pr_auc > 0.005 + 1e-12 AS passed, a.pr_auc - b.pr_auc AS value FROM a, b
         UNION ALL SELECT 1, 'brier', a.brier - b.brier <= 0.01, a.brier - b.brier FROM a, b
-        UNION ALL SELECT 2, 'feature_schema', true, NULL FROM a UNION ALL SELECT 3, 'p95_latency', true, 100.0 FROM a""",
+        UNION ALL SELECT 2, 'feature_schema', true, 0.0 FROM a UNION ALL SELECT 3, 'p95_latency', true, 100.0 FROM a""",
 )
 def gate_checks(s: Stage) -> DataFrame:
     return decision.gate_checks(
-        _holdout_scores(s, "buyer", "s_buyer"), _holdout_scores(s, "promise", "s_promise"), schema_ok=True, gate=GATE
+        _holdout_scores(s, "buyer", "s_buyer"), _holdout_scores(s, "promise", "s_promise"), schema_gaps=0, gate=GATE
     )
 
 
@@ -1207,7 +1210,7 @@ def majority_baseline(s: Stage) -> DataFrame:
 def isotonic_calibration(s: Stage) -> DataFrame:
     """Against the min-max formula of isotonic regression, on the distinct scores."""
     scores = s.scored.select("label", F.col("s_promise").alias("score"))
-    model = learning.fit_isotonic(scores)
+    model = fit_isotonic(scores)
     distinct = scores.select("score", F.col("score").alias("s_promise")).distinct()
     return learning.calibrate(model, distinct).withColumnRenamed("score", "calibrated")
 
@@ -1257,7 +1260,7 @@ def cross_validation(s: Stage) -> DataFrame:
     fit, _ = _fit_and_calibrate(s)
     ranked, n = splits.ranked_in_time(fit)
     folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, CV_FOLDS)))
-    rates = [r[0] for r in folded.where("fold > 0").groupBy("fold").agg(F.avg("label")).orderBy("fold").select("avg(label)").collect()]
+    rates = usable_rates(folded, CV_FOLDS)
     levels = s.preprocessor.levels
     scores = {
         "majority": learning.cross_validate(folded, learning.majority_fitter(), CV_FOLDS),
@@ -1278,7 +1281,7 @@ def _scoring_model(s: Stage) -> scoring.ScoringModel:
     model = learning.fit_model("logistic", fit, s.preprocessor.levels)
     scores = materialize(learning.positive_score(model, calibrate, keep=["label"]))
     return scoring.ScoringModel(
-        s.preprocessor.with_threshold(0.1), {"logistic": model}, {"logistic": 1.0}, learning.fit_isotonic(scores)
+        s.preprocessor.with_threshold(0.1), {"logistic": model}, {"logistic": 1.0}, fit_isotonic(scores)
     )
 
 
@@ -1310,6 +1313,104 @@ def stream_scoring(s: Stage) -> DataFrame:
     return outputs[0].unionByName(outputs[1])
 
 
+FOLDED_SQL = f"""SELECT label, CASE WHEN k < n - {CV_FOLDS} * size THEN 0 ELSE (k - (n - {CV_FOLDS} * size)) // size + 1 END AS fold FROM (
+    SELECT is_late::INT AS label, row_number() OVER (ORDER BY order_purchase_timestamp, order_id) - 1 AS k, count(*) OVER () AS n,
+           count(*) OVER () // {CV_FOLDS + 1} AS size FROM ({FIT_SQL}) AS f) AS p"""
+
+
+@query(
+    "fold:i train_rows:i held_out_rows:i base_rate:f train_rate:f pr_auc:f",
+    f"""WITH f AS ({FOLDED_SQL}), g AS (SELECT fold, count(*) AS n, sum(label) AS p FROM f GROUP BY 1)
+        SELECT h.fold AS fold, sum(t.n) AS train_rows, any_value(h.n) AS held_out_rows, any_value(h.p) / any_value(h.n) AS base_rate,
+               sum(t.p) / sum(t.n) AS train_rate, any_value(h.p) / any_value(h.n) AS pr_auc
+        FROM g h JOIN g t ON t.fold < h.fold WHERE h.fold > 0 GROUP BY 1""",
+)
+def majority_cross_validation(s: Stage) -> DataFrame:
+    """The majority baseline through the expanding window: a constant score is worth the base rate."""
+    ranked, n = splits.ranked_in_time(_fit_orders(s).withColumn("label", F.col("is_late").cast("int")))
+    folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, CV_FOLDS)))
+    scores = learning.evaluate(folded, learning.majority_fitter(), CV_FOLDS)
+    scored = s.spark.createDataFrame(list(scores.items()), "fold int, pr_auc double")
+    return majority_folds(folded).join(scored, "fold")
+
+
+@query(
+    "fold:i rows:i positives:i first:i",
+    f"""WITH f AS ({FOLDED_SQL}), g AS (SELECT fold, count(*) AS n, sum(label) AS p FROM f GROUP BY 1)
+        SELECT h.fold AS fold, any_value(h.n) AS rows, any_value(h.p) AS positives, coalesce(sum(t.n), 0) AS first FROM g h LEFT JOIN g t ON t.fold < h.fold GROUP BY 1""",
+)
+def fold_sizes(s: Stage) -> DataFrame:
+    ranked, n = splits.ranked_in_time(_fit_orders(s).withColumn("label", F.col("is_late").cast("int")))
+    return fold_table(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, CV_FOLDS)))
+
+
+@query(
+    "hi:f n:i pos:i",
+    """WITH g AS (SELECT s_promise AS s, count(*) AS n, sum(label) AS p FROM t_scored GROUP BY 1),
+            b AS (SELECT j.s AS lo, k.s AS hi, sum(m.p) / sum(m.n) AS a FROM g j JOIN g k ON j.s <= k.s JOIN g m ON m.s BETWEEN j.s AND k.s GROUP BY 1, 2),
+            f AS (SELECT s, max(least_above) AS rate FROM (SELECT g.s, b.lo, min(b.a) AS least_above FROM g JOIN b ON b.lo <= g.s AND b.hi >= g.s GROUP BY 1, 2) AS x GROUP BY 1)
+       SELECT max(g.s) AS hi, sum(n) AS n, sum(p) AS pos FROM g JOIN f ON f.s = g.s GROUP BY round(f.rate, 12)""",
+)
+def isotonic_pools(s: Stage) -> DataFrame:
+    """The pooled blocks themselves, with their rows and positives."""
+    return isotonic_blocks(s.scored.select("label", F.col("s_promise").alias("score"))).select("hi", "n", "pos")
+
+
+# --- versions ------------------------------------------------------------------------------------
+
+
+def _event_log(s: Stage) -> DataFrame:
+    """The event stream read as a log: users are versions, kinds of event are fields."""
+    stream = s.spark.read.parquet(f"{s.directory}/events.parquet")
+    return stream.select(
+        F.col("user_id").cast("string").alias("version"),
+        F.col("event_type").alias("field"),
+        F.when(F.col("value") >= 2.0, F.col("props")).alias("value"),
+        F.col("event_id").cast("bigint").alias("seq"),
+    )
+
+
+@query(
+    "version:s field:s value:s",
+    """SELECT version, field, value FROM (
+         SELECT CAST(user_id AS VARCHAR) AS version, event_type AS field, CASE WHEN value >= 2.0 THEN props END AS value,
+                row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) AS x WHERE k = 1 AND value IS NOT NULL""",
+)
+def promotion_events(s: Stage) -> DataFrame:
+    """Current value of every field of every version; a withdrawn field (null) has none."""
+    return versions.state(_event_log(s))
+
+
+@query(
+    "alias:s version:s",
+    """SELECT alias, version FROM (
+         SELECT event_type AS alias, CAST(user_id AS VARCHAR) AS version, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS k
+         FROM events) AS x WHERE k = 1 AND value >= 2.0""",
+)
+def alias_moves(s: Stage) -> DataFrame:
+    """Who answers to each name after all moves."""
+    return versions.holders(_event_log(s).withColumn("field", F.concat(F.lit("alias:"), "field")))
+
+
+STATUS_OF = {"click": "challenger", "view": "champion", "error": "archived"}
+
+
+@query(
+    "seq:i version:s before:s after:s legal:b",
+    """WITH e AS (SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS version,
+                         CASE event_type WHEN 'click' THEN 'challenger' WHEN 'view' THEN 'champion' WHEN 'error' THEN 'archived' ELSE 'lost' END AS after FROM events),
+            m AS (SELECT *, lag(after) OVER (PARTITION BY version ORDER BY seq) AS before FROM e)
+       SELECT seq, version, before, after, coalesce(CASE WHEN before IS NULL THEN after IN ('challenger', 'champion')
+              WHEN before = 'challenger' THEN after IN ('champion', 'archived') WHEN before = 'champion' THEN after = 'archived'
+              WHEN before = 'archived' THEN after = 'champion' END, false) AS legal FROM m""",
+)
+def status_moves(s: Stage) -> DataFrame:
+    """Which status may follow which, judged over a whole log."""
+    kinds = F.create_map(*[F.lit(x) for pair in STATUS_OF.items() for x in pair])
+    log = _event_log(s).select("version", F.lit("status").alias("field"), F.coalesce(kinds[F.col("field")], F.lit("lost")).alias("value"), "seq")
+    return versions.transitions(log)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: entry.run for name, entry in QUERIES.items()}
 

@@ -6,6 +6,7 @@ any of them can be run again after a failure.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -14,13 +15,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, contract, decision, explain, learning, metrics, profile, splits
+from tidemark.operators import asof, contract, decision, explain, learning, metrics, profile, splits, versions
+from tidemark.operators import folds as folds_of
 from tidemark.operators.features import FEATURES, RAW_INPUTS
 from tidemark.operators.geography import state_centroids, zip_centroids
+from tidemark.operators.isotonic import fit_isotonic
 from tidemark.operators.learning import SCORE, VALIDATION
 from tidemark.operators.orders import orders_analytical
 from tidemark.operators.population import order_funnel, order_outcomes
-from tidemark.operators.preprocessing import HistoryPreprocessor, PreprocessingModel
+from tidemark.operators.preprocessing import HistoryPreprocessor, PreprocessingModel, contract_differences
 from tidemark.operators.rollups import mean_review
 from tidemark.operators.scoring import ScoringModel, route_records
 from tidemark.session import configure, materialize
@@ -35,7 +38,7 @@ from tidemark.settings import (
     Calendar,
 )
 from tidemark.sources.landing import land
-from tidemark.sources.publish import append_rows, publish_all, read_log, read_published
+from tidemark.sources.publish import append_rows, publish_all, read_published
 from tidemark.sources.tables import RawTables
 
 land_job = land
@@ -170,10 +173,7 @@ def tune_job(
     ranked, n = splits.ranked_in_time(matrix.fit_rows())
     folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, folds)))
     levels = matrix.preprocessing.levels
-    rates = [
-        r[0]
-        for r in folded.where("fold > 0").groupBy("fold").agg(F.avg(metrics.LABEL).alias("r")).orderBy("fold").select("r").collect()
-    ]
+    rates = folds_of.usable_rates(folded, folds)
     scores = {
         "majority": learning.cross_validate(folded, learning.majority_fitter(), folds),
         "logistic": learning.cross_validate(folded, learning.family_fitter("logistic", levels), folds),
@@ -232,7 +232,7 @@ def decide_job(
     shipped = decision.blend(sorted(used), [used[n] for n in sorted(used)]).alias(SCORE)
     held_out = materialize(first.select(metrics.LABEL, shipped))
     fit_on = materialize(second.select(metrics.LABEL, shipped))
-    calibrator = learning.fit_isotonic(fit_on)
+    calibrator = fit_isotonic(fit_on)
     calibrated = materialize(learning.calibrate(calibrator, fit_on))
     best = metrics.best_threshold(metrics.cost_curve(calibrated, ratio))
     # A threshold of exactly 0 or 1 flags everything or nothing; keep it strictly inside.
@@ -244,57 +244,75 @@ def decide_job(
     return Decision(scoring, chosen, verdict, best, report)
 
 
-EVENTS = "version_events"
 DECISIONS = "promotion_log"
+SUMMARIES = "model_summaries"
+SCHEMA_GAPS = "schema_differences"
+VERSION_TAGS = (
+    "shipped_model",
+    "threshold",
+    "training_window",
+    "calibration_window",
+    "evaluation_pr_auc",
+    "status",
+    "withdrawn_reason",
+    "path",
+)
 
 
-def version_events(spark: SparkSession, root: str) -> DataFrame:
-    return read_log(spark, root, EVENTS, decision.VERSION_EVENTS)
-
-
-def record_events(spark: SparkSession, root: str, version: str, fields: Mapping[str, str]) -> None:
-    """Append facts about a version; the newest fact of each field is the current one."""
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    start = version_events(spark, root).agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
-    rows = [(version, k, str(v), now, start + i) for i, (k, v) in enumerate(fields.items())]
-    append_rows(spark.createDataFrame(rows, decision.VERSION_EVENTS).coalesce(1), root, EVENTS)
+def describe_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Tags, status, reason of withdrawal and aliases of every version."""
+    return versions.described(versions.events(spark, root), VERSION_TAGS)
 
 
 def train_job(matrix: Matrix, decided: Decision, root: str) -> tuple[str, str]:
-    """Save a decided model as the next version. The first is champion, later ones challenge."""
+    """Save a decided model as the next version. The first is champion, later ones challenge.
+
+    Of two jobs that saw the same versions the second is refused when it records its own.
+    """
     spark = matrix.rows.sparkSession
-    known = version_events(spark, root)
-    number = known.agg(F.coalesce(F.max(F.col("version").cast("int")), F.lit(0))).first()[0] + 1
-    version = str(number)
-    path = f"{root}/models/{version}"
+    seen = versions.head(spark, root)
+    known = materialize(versions.events(spark, root))
+    version = str(known.agg(F.coalesce(F.max(F.col("version").cast("int")), F.lit(0))).first()[0] + 1)
+    path = f"{root}/models/{version}-{uuid.uuid4().hex}"
     decided.model.save_to(path)
     windows = matrix.calendar.version(matrix.version)
-    uncontested = decision.alias_holders(known).where(F.col("alias") == "champion").isEmpty()
+    uncontested = versions.holders(known).where(F.col("alias") == "champion").isEmpty()
     alias = "champion" if uncontested else "challenger"
-    record_events(
-        spark,
-        root,
-        version,
-        {
-            "path": path,
-            "shipped_model": decided.chosen,
-            "threshold": f"{decided.model.preprocessing.threshold:.5f}",
-            "training_window": f"{windows.fit.start}..{windows.fit.end}",
-            "calibration_window": f"{windows.calibrate.start}..{windows.calibrate.end}",
-            "blend_delta_pr_auc": f"{decided.blend.delta:.5f}",
-            "evaluation_pr_auc": "pending",
-            "alias": alias,
-        },
-    )
+    tags = {
+        "path": path,
+        "shipped_model": decided.chosen,
+        "threshold": f"{decided.model.preprocessing.threshold:.5f}",
+        "training_window": f"{windows.fit.start}..{windows.fit.end}",
+        "calibration_window": f"{windows.calibrate.start}..{windows.calibrate.end}",
+        "blend_delta_pr_auc": f"{decided.blend.delta:.5f}",
+        "evaluation_pr_auc": "pending",
+    }
+    changes = [(version, field, value) for field, value in tags.items()]
+    versions.record(spark, root, [*changes, *versions.moves(known, version, alias)], seen)
+    summary = decided.model.preprocessing.summary().select(F.lit(version).alias("version"), "*")
+    append_rows(summary.coalesce(1), root, SUMMARIES)
     return version, alias
 
 
+def rollback_job(spark: SparkSession, root: str, version: str, reason: str) -> None:
+    """Make an archived version champion again; the present champion is archived with the reason."""
+    seen = versions.head(spark, root)
+    known = materialize(versions.events(spark, root))
+    present = versions.resolve(known, "@champion")
+    changes = versions.moves(known, present, "archived", f"archived: {reason}")
+    versions.record(spark, root, [*changes, *versions.moves(known, version, "champion")], seen)
+
+
+def version_path(log: DataFrame, version: str) -> str:
+    row = versions.state(log).where((F.col("version") == version) & (F.col("field") == "path")).first()
+    return row["value"] if row else version
+
+
 def load_version(spark: SparkSession, root: str, reference: str) -> tuple[str, ScoringModel]:
-    """Load by ``@alias``, pinned version (the way to roll back) or path."""
-    events = version_events(spark, root)
-    version = decision.resolve_version(events, reference)
-    state = decision.latest_state(events).where((F.col("version") == version) & (F.col("field") == "path")).first()
-    return version, ScoringModel.load_from(spark, state["value"] if state else version)
+    """Load by ``@alias``, pinned version or path."""
+    log = versions.events(spark, root)
+    version = versions.resolve(log, reference)
+    return version, ScoringModel.load_from(spark, version_path(log, version))
 
 
 def holdout_frame(spark: SparkSession, calendar: Calendar, root: str, reader: str) -> DataFrame:
@@ -365,20 +383,25 @@ def promote_job(
     """
     configure(spark)
     decision.check_gate(gate)
-    events = version_events(spark, root)
-    holders = {r["alias"]: r["version"] for r in decision.alias_holders(events).collect()}
+    seen = versions.head(spark, root)
+    known = materialize(versions.events(spark, root))
+    holders = {r["alias"]: r["version"] for r in versions.holders(known).collect()}
     if "challenger" not in holders:
         raise LookupError("no version is waiting as challenger")
-    rows = materialize(holdout_frame(spark, calendar, root, "promote"))
     scores = {}
-    for alias in ("challenger", "champion"):
-        if alias in holders and (alias == "challenger" or holders[alias] != holders["challenger"]):
-            version, model = load_version(spark, root, f"@{alias}")
-            scores[alias] = materialize(score_holdout(model, version, rows, batch_p95(model, rows)))
-    # Loading already refused a model whose contract differs from this code's.
-    checks = materialize(
-        decision.gate_checks(scores["challenger"], scores.get("champion"), schema_ok=True, gate=gate)
-    )
+    gaps = materialize(contract_differences(spark, f"{version_path(known, holders['challenger'])}/preprocessing"))
+    many = gaps.count()
+    if many:
+        # A model of another contract cannot score this code's rows; the refusal is logged like any other.
+        append_rows(gaps.select(F.lit(holders["challenger"]).alias("version"), "*").coalesce(1), root, SCHEMA_GAPS)
+        checks = decision.schema_refusal(spark, many)
+    else:
+        rows = materialize(holdout_frame(spark, calendar, root, "promote"))
+        for alias in ("challenger", "champion"):
+            if alias in holders and (alias == "challenger" or holders[alias] != holders["challenger"]):
+                version, model = load_version(spark, root, f"@{alias}")
+                scores[alias] = materialize(score_holdout(model, version, rows, batch_p95(model, rows)))
+        checks = materialize(decision.gate_checks(scores["challenger"], scores.get("champion"), schema_gaps=0, gate=gate))
     promoted = decision.gate_verdict(checks).first()["promoted"]
     challenger, champion = holders["challenger"], holders.get("champion")
     now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -390,12 +413,15 @@ def promote_job(
         F.lit(promoted).alias("promoted"),
     )
     append_rows(log.coalesce(1), root, DECISIONS)
-    measured = scores["challenger"].first()
-    record_events(spark, root, challenger, {"evaluation_pr_auc": f"{measured['pr_auc']:.5f}"})
+    changes: list[versions.Change] = []
+    if scores:
+        changes.append((challenger, "evaluation_pr_auc", f"{scores['challenger'].first()['pr_auc']:.5f}"))
     if promoted:
-        record_events(spark, root, challenger, {"alias": "champion", "status": "champion"})
         if champion and champion != challenger:
-            record_events(spark, root, champion, {"status": "archived"})
+            changes += versions.moves(known, champion, "archived", f"archived: superseded by version {challenger} through the promotion gate")
+        changes += versions.moves(known, challenger, "champion")
+    if changes:
+        versions.record(spark, root, changes, seen)
     return checks
 
 
