@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import column_quantiles, grouped_quantiles
+from tidemark.operators.quantiles import column_quantiles, grouped_quantiles, select_quantiles
 from tidemark.operators.ranking import dominant, global_rank, running_totals
 
 
@@ -73,3 +73,28 @@ def test_column_quantiles(spark):
     known = [y for i, y in enumerate(b) if i % 7]
     assert got["a"] == pytest.approx(np.median(a)) and got["b"] == pytest.approx(np.median(known))
     assert got["empty"] is None
+
+
+@pytest.mark.parametrize("accuracy", [2_000, 20, 3])
+def test_quantiles_with_ranks_inside_the_brackets(spark, monkeypatch, accuracy):
+    """Coarse brackets leave many values inside; ties are among them."""
+    from tidemark.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    rng = np.random.default_rng(accuracy)
+    rows = [(float(rng.normal()), float(rng.integers(0, 4)), float(rng.exponential()) if i % 3 else None) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").withColumn("none", F.lit(None).cast("double")).repartition(7)
+    wanted = {f"{c}{p}": (c, p) for c in "abc" for p in (0.0, 0.1, 0.5, 0.503, 0.99, 1.0)} | {"none": ("none", 0.5)}
+    got = select_quantiles(df, wanted)
+    for name, (column, p) in wanted.items():
+        values = [] if column == "none" else [r["abc".index(column)] for r in rows if r["abc".index(column)] is not None]
+        assert got[name] == (pytest.approx(np.quantile(values, p), abs=1e-12) if values else None), name
+    assert column_quantiles(df.limit(0), {"a": 0.5}) == {"a": None}
+
+
+def test_a_missed_bracket_is_answered_by_the_plain_kernel(spark, monkeypatch):
+    from tidemark.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "_sketched", lambda rows, wanted: {n: (8.0, 8.0) for n in wanted})
+    df = spark.createDataFrame([(float(v),) for v in range(9)], "v double")
+    assert select_quantiles(df, {"m": ("v", 0.5), "q": ("v", 0.25)}) == {"m": 4.0, "q": 2.0}
