@@ -92,3 +92,13 @@ def test_failed_check_keeps_the_last_good_tables(spark, tmp_path):
     assert read_published(spark, root, "a").count() == 3
     publish_all(spark, root, {"a": spark.range(5)})
     assert read_published(spark, root, "a").count() == 5 and read_published(spark, root, "b").count() == 3
+
+
+def test_multisets_are_compared_row_by_row(spark):
+    from tidemark.operators.reconcile import multiset_gap
+
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "y"), (1, "x"), (3, "z")], "k int, v string")
+    assert multiset_gap(a, b, ["k", "v"]).first()[0] == 2
+    assert multiset_gap(a, a.repartition(3), ["k", "v"]).first()[0] == 0
+    assert multiset_gap(a.where("false"), b.where("false"), ["k", "v"]).first()[0] == 0

@@ -15,6 +15,16 @@ def _differs(left: Column, right: Column, tolerance: float | None) -> Column:
     return ~F.coalesce(close, left.isNull() & right.isNull())
 
 
+def multiset_gap(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: how many rows one side holds more often than the other, nulls equal to nulls.
+
+    For tables whose key repeats or that have none. One grouping with a map-side half.
+    """
+    signed = a.select(*columns, F.lit(1).alias("_side")).unionByName(b.select(*columns, F.lit(-1).alias("_side")))
+    uses = signed.groupBy(*columns).agg(F.sum("_side").alias("_gap"))
+    return uses.agg(F.coalesce(F.sum(F.abs("_gap")), F.lit(0)).alias("differing"))
+
+
 def differences(
     a: DataFrame, b: DataFrame, keys: Sequence[str], tolerances: Mapping[str, float | None]
 ) -> DataFrame:
