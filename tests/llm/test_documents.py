@@ -4,12 +4,14 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import SCHEMA, jaccard, sample_texts, table
 from tidemark.llm import decontamination, fingerprint, lines, minhash, packing, sharding, surrogates
+from tidemark.session import scratch_folder
 
 
 @pytest.fixture(scope="module")
@@ -328,6 +330,34 @@ def test_empty_tables(spark, empty):
     assert surrogates.pseudonymize(empty, "k").count() == 0
 
 
+def test_clashing_helper_columns_keep_their_values(spark, docs):
+    names = ("_removed", "_whole", "_doc", "_text", "_new", "_key", "_content", "_node", "_later", "n_words", "Items", "n_hit", "spans", "score", "predicted")
+    extra = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    bench = spark.createDataFrame([(1, "changed changed")], "item_id long, text string")
+    folder = scratch_folder(spark)
+    spark.createDataFrame([(7 * i, 1) for i in range(40)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    for found in (
+        lines.without_repeats(extra),
+        minhash.keep_one(extra),
+        decontamination.without_contaminated(extra, bench),
+        surrogates.pseudonymize(extra, "k"),
+        corpus_pipeline.keep_quality(spark, extra, folder),
+    ):
+        assert found.columns[: len(extra.columns)] == extra.columns
+        rows = found.collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+
+
+def test_keep_one_with_texts_that_share_an_id(spark):
+    one, other, third = ("a b c d e f g h i j", "k l m n o p q r s t", "u v w x y z a b c d")
+    rows = [(1, one), (5, one), (5, other), (7, other), (7, third), (9, third), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()]
+    texts = [t for _, t in kept if t]
+    assert sorted(texts) == sorted([one, other, third]) and kept.count((9, None)) == 2
+    assert (1, one) in kept
+
+
 def test_clashing_columns(docs):
     extra = docs.select("*", *(F.lit(1).alias(c) for c in ("node", "label", "bucket", "line", "words", "place", "n_hit", "items", "kinds", "key", "size")))
     assert minhash.keep_one(extra).columns == extra.columns

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import set_aside
 from tidemark.llm.words import ALNUM, FOLD, word_spans
 from tidemark.session import materialize
 
@@ -160,4 +161,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, blo
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents in which no window occurs, with their own columns."""
-    return contamination(docs, benchmark, width).where("n_hit = 0").select(*docs.columns)
+    rows, own = set_aside(docs, ("n_hit", *_FOUND))
+    return contamination(rows, benchmark, width).where("n_hit = 0").select(*own)

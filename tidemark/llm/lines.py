@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import set_aside
 from tidemark.llm.words import NOT_WHITE, hash_spans, mix, text_blocks, word_spans
 from tidemark.session import materialize
 
@@ -276,8 +277,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A document that had words and has none left repeats earlier documents as a whole and goes.
     """
+    rows, own = set_aside(docs, ("_doc", "_removed", "_whole"))
     found = (
-        _removed(docs)
+        _removed(rows)
         .select(
             F.col("doc_id").alias("_doc"),
             F.array_except("lines", "kept").alias("_removed"),
@@ -288,7 +290,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_removed", i))
     cleaned = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
     return (
-        docs.join(found, docs.doc_id == found["_doc"], "left")
+        rows.join(found, rows.doc_id == found["_doc"], "left")
         .where(~F.coalesce("_whole", F.lit(False)))
-        .select(*(cleaned.alias(c) if c == "text" else docs[c] for c in docs.columns))
+        .select(*(cleaned.alias(c) if c == "text" else column for c, column in zip(docs.columns, own, strict=True)))
     )

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import set_aside
 from tidemark.llm.graph import connect
 from tidemark.llm.words import NOT_WHITE, hash_spans, mix, shingles, stream, text_blocks, word_spans
 from tidemark.session import materialize
@@ -268,6 +269,22 @@ def components(docs: DataFrame, k: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5) -> DataFrame:
-    """The document with the smallest doc_id of each component, with all its columns."""
-    gone = components(docs, k).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The document with the smallest doc_id of each component, with all its columns.
+
+    Different texts under one doc_id are different documents: the one whose text has the smallest
+    checksum holds the id, the others count as later than all ids. Rows that repeat id and text
+    are one document.
+    """
+    rows, own = set_aside(docs, ("_content", "_later", "_node"))
+    keyed = rows.withColumn("_content", F.xxhash64("text"))
+    ids = keyed.groupBy("doc_id").agg(F.min("_content").alias("first"), F.max("_content").alias("last"))
+    shared = materialize(ids.where("first < last").select("doc_id", "first"))
+    others = keyed.select("doc_id", "_content").join(shared, "doc_id").where(F.col("_content") > F.col("first"))
+    largest = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("largest")).first()["largest"]
+    # Numbers of rows differ between runs of a lost task, so they are written before they are used.
+    numbered = materialize(others.select("doc_id", "_content").distinct().withColumn("n", F.monotonically_increasing_id()))
+    later = numbered.select("doc_id", "_content", (F.col("n") + largest + 1).alias("_later"))
+    named = keyed.join(later, ["doc_id", "_content"], "left").withColumn("_node", F.coalesce("_later", "doc_id"))
+    gone = components(named.select(F.col("_node").alias("doc_id"), "text"), k).where("NOT kept")
+    gone = gone.select(F.col("doc_id").alias("_node")).distinct()
+    return named.join(gone, "_node", "left_anti").select(*own)

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import set_aside
 from tidemark.session import materialize
 
 # Titles by gender, and name parts by script and gender.
@@ -221,6 +222,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and columns n_found and kinds (types found, sorted)."""
     plain = docs.drop("n_found", "kinds")
+    names = plain.columns
+    plain, own = set_aside(plain, ("_text", "_doc", "_key", "_new"))
     entities = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     row_key = F.xxhash64("text").alias("_text")
     # Exploding drops texts without entities, so the patterns run once over every text.
@@ -240,7 +243,7 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
         plain.withColumn("_text", row_key)
         .join(lists, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_key")), "left")
         .select(
-            *(F.when(untouched, F.col("text")).otherwise(replaced).alias(c) if c == "text" else F.col(c) for c in plain.columns),
+            *(F.when(untouched, F.col("text")).otherwise(replaced).alias(c) if c == "text" else column for c, column in zip(names, own, strict=True)),
             F.when(untouched, 0).otherwise(F.size("_new")).cast("long").alias("n_found"),
             F.when(untouched, "").otherwise(F.array_join(F.array_sort(F.array_distinct("_new.kind")), ",")).alias("kinds"),
         )
