@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontamination, lines, minhash, packing
+from tidemark.llm.columns import set_aside
 from tidemark.llm.queries import quality_scores
 from tidemark.session import materialize
 
@@ -20,7 +21,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_scores(docs, labels).where("predicted = 1").select(*docs.columns)
+    rows, own = set_aside(docs, ("held_out", "score", "predicted"))
+    return quality_scores(rows, labels).where("predicted = 1").select(*own)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
