@@ -63,6 +63,51 @@ def test_forward_pass_sums_all_segmentations():
     assert abs(np.exp(got) - total(word)) < 1e-9 * total(word)
 
 
+def _segmentations(word: bytes, number: dict[bytes, int]):
+    if not word:
+        yield []
+    for n in range(1, len(word) + 1):
+        if word[:n] in number:
+            for rest in _segmentations(word[n:], number):
+                yield [number[word[:n]], *rest]
+
+
+@pytest.mark.parametrize("word", [" there", " Слово".lower(), " 日本"])
+def test_expected_counts_over_all_segmentations(word):
+    import numpy as np
+
+    vocab, raw = language.vocabulary(language.RANKS), word.encode()
+    chances = np.random.default_rng(3).random(len(vocab.pieces))
+    want, whole = np.zeros(len(chances)), 0.0
+    for cut in _segmentations(raw, {p: i for i, p in enumerate(vocab.pieces)}):
+        weight = np.prod(chances[cut])
+        whole += weight
+        np.add.at(want, cut, weight)
+    row = np.frombuffer(raw, np.uint8)
+    for got in (language.expected_counts(vocab, row[None, :], np.array([2]), chances), language.long_expected_counts(vocab, row, 2, chances)):
+        assert np.allclose(got, 2 * want / whole, rtol=1e-9)
+    assert np.isclose(language.long_word_scores(vocab, row, chances[:, None])[0], np.log(whole), rtol=1e-12)
+
+
+@pytest.mark.parametrize("text", ["donaudampfschifffahrtsgesellschaftskapitaen" * 3, "достопримечательность" * 6, "國際機場第二航廈" * 200])
+def test_long_words_are_summed_whole(text):
+    import math
+
+    import numpy as np
+
+    vocab, raw = language.vocabulary(language.RANKS), b" " + text.encode()
+    chances = np.maximum(np.random.default_rng(4).random((len(vocab.pieces), 2)) * 1e-4, language.FLOOR)
+    number, widest = {p: i for i, p in enumerate(vocab.pieces)}, max(map(len, vocab.pieces))
+    assert widest > 12
+    for lang in range(2):
+        logs = [0.0]
+        for end in range(1, len(raw) + 1):
+            terms = [logs[b] + math.log(chances[number[raw[b:end]], lang]) for b in range(max(0, end - widest), end) if raw[b:end] in number]
+            logs.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+        got = language.word_scores(vocab, np.frombuffer(raw, np.uint8)[None, :], chances)[0, lang]
+        assert math.isclose(got, logs[-1], rel_tol=1e-12)
+
+
 def test_preferences(spark):
     turns = [
         (1, "chosen", 0, "user", "hi"), (1, "chosen", 1, "assistant", "good"), (1, "chosen", 2, "user", None),

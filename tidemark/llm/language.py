@@ -6,9 +6,9 @@ is the product over its words. Probabilities are fitted by expectation maximisat
 backward passes give the expected count of every piece in the sample's words.
 
 A word is a run of ASCII letters and characters beyond ASCII, in lower case for A-Z, with a blank
-before it, which is where the vocabulary marks beginnings of words; a run of more than ``LONGEST``
-bytes is scored as several words. Distinct words of a block of texts are scored once, many at a
-time.
+before it, which is where the vocabulary marks beginnings of words. Distinct words of a block of
+texts are scored once, many of one length at a time; words of more than ``LONGEST`` bytes, whose
+probability can fall below the smallest double, one at a time in logarithms, place by place.
 
 Defined results: null text and text without a letter is ``und`` with score 0; other texts get the
 language with the highest posterior under equal priors, ties going to the smaller name; without
@@ -36,8 +36,8 @@ UNKNOWN = "und"
 #: Documents of each language that the fit reads, about.
 SAMPLE_ROWS = 400
 ROUNDS = 3
-#: Bytes of the longest piece used and of the longest run that is one word.
-WIDEST, LONGEST = 12, 40
+#: Bytes of the longest word summed in plain doubles; longer ones are summed in logarithms.
+LONGEST = 40
 #: Least probability of any piece; keeps a word's probability above the smallest double.
 FLOOR = 1e-7
 #: Part of the probability that the pieces of all languages share.
@@ -47,7 +47,7 @@ _WORDS_AT_ONCE = 1 << 15
 
 _LETTERS = np.zeros(256, np.uint8)
 _LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = _LETTERS[0x80:] = 1
-_POWERS = np.cumprod(np.array([1] + [0x9E3779B97F4A7C15] * (LONGEST + 2), np.uint64))
+_POWERS = np.cumprod(np.array([1] + [0x9E3779B97F4A7C15] * 255, np.uint64))
 _BYTES = stream(17, 256)
 
 
@@ -68,12 +68,13 @@ class Pieces:
         with open(ranks, "rb") as lines:
             pieces = {base64.b64decode(line.split()[0]) for line in lines}
         pieces |= {bytes([b]) for b in range(256)}
-        self.pieces = sorted({p.translate(bytes(FOLD)) for p in pieces if len(p) <= WIDEST and b" " not in p[1:]})
+        self.pieces = sorted({p.translate(bytes(FOLD)) for p in pieces if b" " not in p[1:]})
         self.keys = np.array([_key(np.frombuffer(p, np.uint8)[None, :])[0] for p in self.pieces], np.uint64)
         assert len(np.unique(self.keys)) == len(self.keys)
         n = len(self.keys)
         self.keys = np.append(self.keys, np.uint64(0))  # entry n never matches: its length is 0
         self.widths = np.array([len(p) for p in self.pieces] + [0])
+        self.lengths = np.unique(self.widths[:-1])
         self.first = np.full(1 << self.BITS, n, np.int32)
         self.second = np.full(1 << self.BITS, n, np.int32)
         slots = self._slots(self.keys[:-1])
@@ -109,15 +110,61 @@ def _matches(vocab: Pieces, rows: np.ndarray) -> Iterator[tuple[int, int, np.nda
     for j in range(length):
         prefix[j + 1] = prefix[j] * _POWERS[1] + _BYTES[rows[:, j]]
     for end in range(1, length + 1):
-        for begin in range(max(0, end - WIDEST), end):
+        for begin in (end - vocab.lengths[vocab.lengths <= end][::-1]).tolist():
             number = vocab.find(prefix[end] - prefix[begin] * _POWERS[end - begin], end - begin)
             at = np.flatnonzero(number >= 0)
             if len(at):
                 yield begin, end, at, number[at]
 
 
+def _long_matches(vocab: Pieces, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and pieces of every piece found in one word, by end."""
+    keys, found = np.zeros(len(word), np.uint64), []
+    for width in range(1, min(int(vocab.lengths[-1]), len(word)) + 1):
+        keys = keys[: len(word) - width + 1] * _POWERS[1] + _BYTES[word[width - 1 :]]
+        number = vocab.find(keys, width)
+        begins = np.flatnonzero(number >= 0)
+        found.append((begins, begins + width, number[begins]))
+    begins, ends, numbers = (np.concatenate(part) for part in zip(*found, strict=True))
+    order = np.argsort(ends, kind="stable")
+    return begins[order], ends[order], numbers[order]
+
+
+def _log_sums(size: int, into: np.ndarray, out_of: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Log sum over all paths from place 0 to each place, by steps in rising order of ``into``."""
+    sums = np.full((size + 1, logs.shape[1]), -np.inf)
+    sums[0] = 0.0
+    at = np.searchsorted(into, np.arange(size + 2))
+    for place in range(1, size + 1):
+        steps = slice(at[place], at[place + 1])
+        terms = sums[out_of[steps]] + logs[steps]
+        top = terms.max(axis=0)
+        sums[place] = top + np.log(np.exp(terms - top).sum(axis=0))
+    return sums
+
+
+def long_word_scores(vocab: Pieces, word: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """Log probability of one word of any length in each language."""
+    begins, ends, numbers = _long_matches(vocab, word)
+    return _log_sums(len(word), ends, begins, np.log(chances)[numbers])[-1]
+
+
+def long_expected_counts(vocab: Pieces, word: np.ndarray, times: int, chances: np.ndarray) -> np.ndarray:
+    """Expected uses of every piece in one word of any length that occurs ``times``."""
+    begins, ends, numbers = _long_matches(vocab, word)
+    logs, size = np.log(chances)[numbers][:, None], len(word)
+    forward = _log_sums(size, ends, begins, logs)[:, 0]
+    # Backwards the same sums run over places counted from the end.
+    order = np.argsort(size - begins, kind="stable")
+    backward = _log_sums(size, (size - begins)[order], (size - ends)[order], logs[order])[::-1, 0]
+    share = np.exp(forward[begins] + logs[:, 0] + backward[ends] - forward[-1])
+    return np.bincount(numbers, share * times, len(chances))
+
+
 def word_scores(vocab: Pieces, rows: np.ndarray, chances: np.ndarray) -> np.ndarray:
     """Log probability of each word (rows of one length) in each language (pieces x languages)."""
+    if rows.shape[1] > LONGEST + 1:
+        return np.stack([long_word_scores(vocab, word, chances) for word in rows])
     forward = np.zeros((rows.shape[1] + 1, len(rows), chances.shape[1]))
     forward[0] = 1.0
     for begin, end, at, number in _matches(vocab, rows):
@@ -127,6 +174,8 @@ def word_scores(vocab: Pieces, rows: np.ndarray, chances: np.ndarray) -> np.ndar
 
 def expected_counts(vocab: Pieces, rows: np.ndarray, times: np.ndarray, chances: np.ndarray) -> np.ndarray:
     """Expected uses of every piece in words of one length that occur ``times`` each."""
+    if rows.shape[1] > LONGEST + 1:
+        return sum(long_expected_counts(vocab, word, many, chances) for word, many in zip(rows, times, strict=True))
     found = list(_matches(vocab, rows))
     forward = np.zeros((rows.shape[1] + 1, len(rows)))
     backward = np.zeros_like(forward)
@@ -143,23 +192,13 @@ def expected_counts(vocab: Pieces, rows: np.ndarray, times: np.ndarray, chances:
     return out
 
 
-def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of words, none longer than ``LONGEST``, and where each text's words begin."""
-    starts, ends, at = word_spans(data, bounds, _LETTERS)
-    parts = -(-(ends - starts) // LONGEST)
-    if parts.max(initial=1) > 1:
-        upto = np.concatenate([[0], np.cumsum(parts)])
-        number = np.arange(upto[-1]) - np.repeat(upto[:-1], parts)
-        starts = np.repeat(starts, parts) + number * LONGEST
-        ends = np.minimum(np.repeat(ends, parts), starts + LONGEST)
-        at = upto[at]
-    return starts, ends, at
-
-
 def _by_length(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words of one length as rows of bytes, a blank before each, and their numbers."""
+    """Words of one length as rows of bytes, a blank before each, and their numbers; a word of
+    more than ``LONGEST`` bytes comes alone."""
     sizes = ends - starts
-    for size in np.unique(sizes):
+    for one in np.flatnonzero(sizes > LONGEST):
+        yield np.concatenate([[np.uint8(0x20)], FOLD[data[starts[one] : ends[one]]]])[None, :], np.array([one])
+    for size in np.unique(sizes[sizes <= LONGEST]):
         same = np.flatnonzero(sizes == size)
         for i in range(0, len(same), _WORDS_AT_ONCE):
             some = same[i : i + _WORDS_AT_ONCE]
@@ -182,7 +221,7 @@ def _fit(table: pa.Table, ranks: str) -> pa.Table:
     for _ in range(ROUNDS):
         counts[:] = 0
         for _, _, data, bounds in text_blocks(table.column("text"), _BLOCK):
-            starts, ends, _ = _words(data, bounds)
+            starts, ends, _ = word_spans(data, bounds, _LETTERS)
             if not len(starts):
                 continue
             _, first, _, times = _distinct(data, starts, ends)
@@ -218,7 +257,7 @@ def _score(batches: Iterator[pa.RecordBatch], model, names: list[str], ranks: st
         labels: list[str] = [UNKNOWN] * batch.num_rows
         scores = np.zeros(batch.num_rows)
         for first, _, data, bounds in text_blocks(batch.column("text"), _BLOCK) if names else ():
-            starts, ends, at = _words(data, bounds)
+            starts, ends, at = word_spans(data, bounds, _LETTERS)
             if not len(starts):
                 continue
             vocab = vocabulary(ranks)
