@@ -1,8 +1,10 @@
 """Operators on documents against plain versions, with nulls, empty, long and repeated texts."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import corpus_pipeline
 import pytest
@@ -165,6 +167,31 @@ def test_local_search_empties_bins():
     assert used == counts
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_local_search_ends_where_no_step_is_left(seed):
+    rng = random.Random(seed)
+    size = 60
+    counts = Counter(rng.randint(1, 4) if seed % 2 and i % 3 == 0 else rng.randint(13, 33) for i in range(150))
+    found = packing.pack(dict(counts), size)
+    used = Counter()
+    for pattern, many in found.items():
+        assert sum(pattern) <= size
+        for length in pattern:
+            used[length] += many
+    assert used == counts and found.total() <= packing.best_fit(dict(counts), size).total()
+    if found.total() == -(-sum(length * many for length, many in counts.items()) // size):
+        return
+    bins = [p for p in found.elements() if sum(p) < size]
+    for i, giver in enumerate(bins):
+        moves = [(x,) for x in giver] + list(combinations(giver, 2))
+        for taker in bins[:i] + bins[i + 1 :]:
+            for into in moves:
+                for out in [(), *((x,) for x in taker)]:
+                    fill, rest = sum(taker) + sum(into) - sum(out), sum(giver) - sum(into) + sum(out)
+                    better = fill**2 + rest**2 > sum(taker) ** 2 + sum(giver) ** 2
+                    assert fill > size or rest > size or not better or fill < sum(taker)
+
+
 def test_decontamination(spark, docs, texts):
     source = texts[3].split()
     items = [(1, " ".join(source[:14])), (2, "Word!"), (3, None), (4, ""), (20, "ba " * 3)]

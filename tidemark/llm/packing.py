@@ -54,8 +54,6 @@ _WIDE_WHITE = re.compile("[\x85\xa0  -     　]")
 _CALL = 1 << 18
 #: Bytes of text whose distinct pieces are encoded together.
 _BLOCK = 1 << 22
-#: Emptiest patterns tried as donor in a round of local search.
-GIVERS = 16
 
 
 class Tokens:
@@ -238,8 +236,10 @@ def _step(giver: Pattern, taker: Pattern, size: int) -> tuple[Pattern, Pattern]
     best, change = 0, None
     out_options = [(0, ())] + [(x, (x,)) for x in sorted(set(taker))]
     singles = sorted(set(giver))
-    pairs = [(a, b) for i, a in enumerate(giver) for b in giver[i + 1 :]] if len(giver) <= 32 else []
-    in_options = [(x, (x,)) for x in singles] + sorted({(a + b, (a, b)) for a, b in pairs})
+    held = Counter(giver)
+    # Distinct lengths of one sequence are few: 63 of them already add up to 2,016.
+    pairs = [(a, b) for i, a in enumerate(singles) for b in singles[i:] if a != b or held[a] > 1]
+    in_options = [(x, (x,)) for x in singles] + sorted((a + b, (a, b)) for a, b in pairs)
     for out, leaves in out_options:
         for into, enters in in_options:
             gain = into - out
@@ -252,35 +252,50 @@ def _step(giver: Pattern, taker: Pattern, size: int) -> tuple[Pattern, Pattern]
     return tuple((Counter(giver) - enters + leaves).elements()), tuple((Counter(taker) - leaves + enters).elements())
 
 
-def pack(counts: dict[int, int], size: int, rounds: int = 5_000) -> Counter[Pattern]:
-    """Patterns and how many sequences take each; ``rounds`` bounds the exchanges tried."""
+def pack(counts: dict[int, int], size: int) -> Counter[Pattern]:
+    """Patterns and how many sequences take each.
+
+    Squared fill rises with every change, so the search ends: at the lower bound, or when no two
+    underfull sequences have a step left.
+    """
     found = Counter()
     for pattern, many in best_fit(counts, size).items():
         found[tuple(sorted(pattern, reverse=True))] += many
     fewest = -(-sum(length * many for length, many in counts.items()) // size)
-    for _ in range(rounds):
-        if found.total() <= fewest:
-            break
-        under = sorted((sum(p), p) for p in found if sum(p) < size)
-        if len(under) == 1 and found[under[0][1]] == 1:
-            break
-        for _, giver in under[:GIVERS]:
-            change = next(
-                ((taker, step) for _, taker in reversed(under) if (taker != giver or found[giver] > 1) and (step := _step(giver, taker, size))),
-                None,
-            )
-            if change:
-                break
-        else:
+    # Underfull patterns in the order in which they came or became more; up to ``clean`` of a donor
+    # none of them can take from it.
+    came = [p for p in found if sum(p) < size]
+    clean: dict[Pattern, int] = {}
+    failed: set[tuple[Pattern, Pattern]] = set()
+
+    def change_of(giver: Pattern) -> tuple[Pattern, tuple[Pattern, Pattern]] | None:
+        takers = {t for t in came[clean.get(giver, 0) :] if found[t] > (t == giver)}
+        for taker in sorted(takers, key=lambda t: (sum(t), t), reverse=True):
+            if (giver, taker) not in failed:
+                if step := _step(giver, taker, size):
+                    return taker, step
+                failed.add((giver, taker))
+        clean[giver] = len(came)
+        failed.clear()
+        return None
+
+    while found.total() > fewest:
+        under = sorted((sum(p), p) for p in found if sum(p) < size and clean.get(p, 0) < len(came))
+        giver, change = next(((g, c) for _, g in under if (c := change_of(g))), (None, None))
+        if change is None:
             break
         taker, step = change
         times = found[giver] // 2 if giver == taker else min(found[giver], found[taker])
         for pattern in (giver, taker):
             found[pattern] -= times
+            if not found[pattern]:
+                del found[pattern]
         for pattern in step:
             if pattern:
-                found[tuple(sorted(pattern, reverse=True))] += times
-        found = +found
+                pattern = tuple(sorted(pattern, reverse=True))
+                found[pattern] += times
+                if sum(pattern) < size:
+                    came.append(pattern)
     return found
 
 
