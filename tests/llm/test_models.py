@@ -126,6 +126,13 @@ def test_preferences(spark):
     assert preferences.pairs(frame.where("false")).count() == 0
 
 
+def test_preference_query_shares_prompts(spark):
+    rows = queries.op2_preferences(spark, SF_SMALL).collect()
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").where("role = 'assistant'")
+    assert sum(r["n_common"] > 0 and r["prompt"] != "" for r in rows) >= 0.9 * turns.select("conv_id").distinct().count()
+    assert any(r["chosen_mask"] and r["rejected_mask"] and r["chosen"] != r["rejected"] for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()

@@ -38,10 +38,24 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 _PREFERENCES = """
-WITH numbered AS (
-  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 AS side, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
-  FROM conversations
+WITH last_said AS (
+  SELECT conv_id, turn AS last_turn, text AS reply FROM conversations WHERE role = 'assistant' AND turn IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC NULLS LAST) = 1
+),
+marked AS (
+  SELECT conv_id, turn, role, text, coalesce(role = 'assistant' AND turn = last_turn, false) AS swapped
+  FROM conversations LEFT JOIN last_said USING (conv_id)
+),
+sided AS (
+  SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM marked
+  UNION ALL
+  SELECT m.conv_id, 1, turn, role, CASE WHEN swapped THEN reply ELSE text END
+  FROM marked m LEFT JOIN last_said n ON n.conv_id = m.conv_id + 1 WHERE NOT swapped OR n.conv_id IS NOT NULL
+),
+numbered AS (
+  SELECT pair_id, side, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body,
+         row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
+  FROM sided
 ),
 drawn AS (
   SELECT *, '<|' || role || '|>' || chr(10) AS head, body || '<|end|>' || chr(10) AS tail FROM numbered

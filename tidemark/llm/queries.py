@@ -28,14 +28,27 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring conversations (2k, 2k + 1) as chosen and rejected."""
-    turns = _table(spark, sf_dir, "conversations")
-    sided = turns.select(
-        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
-        F.when(F.col("conv_id") % 2 == 0, "chosen").otherwise("rejected").alias("side"),
-        "turn",
-        "role",
-        "text",
+    """Every conversation as chosen; rejected is the same one with the last assistant turn's text
+    taken from the next conv_id's last assistant turn, or without that turn where there is none."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = turns.where((F.col("role") == preferences.TRAINED_ROLE) & F.col("turn").isNotNull())
+    last = said.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last").alias("other"))
+    swapped = F.coalesce((F.col("role") == preferences.TRAINED_ROLE) & (F.col("turn") == F.col("last.turn")), F.lit(False))
+    sides = F.array(
+        F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text"), F.lit(True).alias("said")),
+        F.struct(
+            F.lit("rejected").alias("side"),
+            F.when(swapped, F.col("other.text")).otherwise(F.col("text")).alias("text"),
+            (~swapped | F.col("other").isNotNull()).alias("said"),
+        ),
+    )
+    sided = (
+        turns.join(last, "conv_id", "left")
+        .join(other, "conv_id", "left")
+        .select(F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(sides).alias("of"))
+        .where("of.said")
+        .select("pair_id", "of.side", "turn", "role", "of.text")
     )
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["begin"], F.lit("-"), s["end"])), ",").alias(c)
     return preferences.pairs(sided).select(
