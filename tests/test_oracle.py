@@ -15,7 +15,7 @@ TABLES = (
 CHOSEN = (
     "funnel order_outcomes order_rollup payment_rollup zip_centroid orders_analytical asof_route attach_history "
     "leaky_vs_correct ts_folds metric_summary threshold_sweep reliability_bins isotonic_calibration gate_checks "
-    "feature_matrix csv_roundtrip record_routing"
+    "feature_matrix csv_roundtrip record_routing order_exits order_conservation"
 ).split()
 
 

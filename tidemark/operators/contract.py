@@ -230,6 +230,16 @@ def star_contract() -> Contract:
     return analytical_contract(two_letter_states=False, max_distance_km=6000.0)
 
 
+OUTCOME_COLUMNS = (
+    "order_id",
+    "order_delivered_customer_date",
+    "order_delivered_carrier_date",
+    "is_late",
+    "delivery_days",
+    "handling_days",
+)
+
+
 def outcome_rules() -> list[Rule]:
     return [
         not_null("order_id"),
@@ -240,6 +250,18 @@ def outcome_rules() -> list[Rule]:
     ]
 
 
+def outcome_contract() -> Contract:
+    return Contract(OUTCOME_COLUMNS, ("order_id",), tuple(outcome_rules()), forbidden=frozenset())
+
+
+def require_conservation(entries: DataFrame) -> None:
+    """Raise with every entry of a conservation ledger that does not add up."""
+    broken = entries.where("NOT agrees").orderBy("entry").collect()
+    if broken:
+        listing = "; ".join(f"{r.entry}: {r.actual} instead of {r.expected}" for r in broken)
+        raise ContractViolation(f"orders are not conserved: {listing}")
+
+
 def count_agreement(counts: dict[str, DataFrame]) -> DataFrame:
     """Row counts of several frames side by side, with whether they all agree."""
     parts = [df.agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name, df in counts.items()]

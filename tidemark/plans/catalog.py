@@ -18,6 +18,7 @@ from tidemark.operators import (
     explain,
     features,
     learning,
+    ledger,
     metrics,
     population,
     profile,
@@ -398,6 +399,51 @@ def count_reconciliation(s: Stage) -> DataFrame:
     )
 
 
+EXITS_SQL = """
+  SELECT o.order_id, CASE
+    WHEN o.order_status IS DISTINCT FROM 'delivered' THEN 'not delivered'
+    WHEN o.order_delivered_customer_date IS NULL THEN 'no delivery date'
+    WHEN NOT EXISTS (SELECT 1 FROM t_delivered d WHERE d.order_id = o.order_id) THEN 'outside the window'
+    WHEN NOT EXISTS (SELECT 1 FROM t_items i WHERE i.order_id = o.order_id) THEN 'no items'
+    WHEN NOT EXISTS (SELECT 1 FROM t_lines l WHERE l.order_id = o.order_id) THEN 'no known item'
+    WHEN NOT EXISTS (SELECT 1 FROM t_payments p WHERE p.order_id = o.order_id) THEN 'no payment'
+    WHEN NOT EXISTS (SELECT 1 FROM t_customers c WHERE c.customer_id = o.customer_id) THEN 'unknown customer'
+    ELSE 'kept' END AS "exit"
+  FROM t_orders o"""
+
+
+@query("exit:s orders:i", f'SELECT "exit", count(*) AS orders FROM ({EXITS_SQL}) AS e GROUP BY 1')
+def order_exits(s: Stage) -> DataFrame:
+    return ledger.exit_counts(ledger.order_exits(s.raw, s.window, s.analytical))
+
+
+@query(
+    "entry:s expected:i actual:i agrees:b",
+    f"""WITH e AS ({EXITS_SQL}), n AS (
+         SELECT count(*) AS a, count(*) FILTER ("exit" <> 'not delivered') AS d,
+                count(*) FILTER ("exit" NOT IN ('not delivered', 'no delivery date')) AS t,
+                count(*) FILTER ("exit" NOT IN ('not delivered', 'no delivery date', 'outside the window')) AS w,
+                count(*) FILTER ("exit" = 'kept') AS k FROM e),
+       c AS (
+         SELECT 'all raw orders' AS entry, a AS expected, (SELECT count(*) FROM t_orders) AS actual FROM n
+         UNION ALL SELECT 'status = ''delivered''', d, (SELECT count(*) FROM t_orders WHERE order_status = 'delivered') FROM n
+         UNION ALL SELECT '+ delivery date not null', t, (SELECT count(*) FROM t_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL) FROM n
+         UNION ALL SELECT '+ purchased inside the analysis window', w, (SELECT count(*) FROM t_delivered) FROM n
+         UNION ALL SELECT 'rows of analytical', k, (SELECT count(*) FROM t_analytical) FROM n
+         UNION ALL SELECT 'rows of outcomes', k, (SELECT count(*) FROM t_outcomes) FROM n
+         UNION ALL SELECT 'lost without a reason', 0, (SELECT count(*) FROM e WHERE "exit" = 'kept' AND order_id NOT IN (SELECT order_id FROM t_analytical))
+         UNION ALL SELECT 'published in spite of a reason', 0, (SELECT count(*) FROM e WHERE "exit" <> 'kept' AND order_id IN (SELECT order_id FROM t_analytical))
+         UNION ALL SELECT 'analytical without a raw order', 0, (SELECT count(*) FROM t_analytical WHERE order_id NOT IN (SELECT order_id FROM t_orders))
+         UNION ALL SELECT 'outcomes without a raw order', 0, (SELECT count(*) FROM t_outcomes WHERE order_id NOT IN (SELECT order_id FROM t_orders)))
+       SELECT *, expected = actual AS agrees FROM c""",
+)
+def order_conservation(s: Stage) -> DataFrame:
+    """Against the outcomes of all delivered orders, whose count differs by the orders not kept."""
+    exits = materialize(ledger.order_exits(s.raw, s.window, s.analytical))
+    funnel_rows = population.order_funnel(s.raw.orders, s.window)
+    return ledger.conservation(exits, funnel_rows, {"analytical": s.analytical, "outcomes": s.outcomes})
+
+
 # --- as-of history -------------------------------------------------------------------------------
 
 SNAPSHOT_SPEC = "snapshot_month:t order_count:i late_rate:f avg_delivery_days:f avg_handling_days:f"

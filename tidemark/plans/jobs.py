@@ -21,6 +21,7 @@ from tidemark.operators.features import FEATURES, RAW_INPUTS
 from tidemark.operators.geography import state_centroids, zip_centroids
 from tidemark.operators.isotonic import fit_isotonic
 from tidemark.operators.learning import SCORE, VALIDATION
+from tidemark.operators.ledger import conservation, order_exits
 from tidemark.operators.orders import orders_analytical
 from tidemark.operators.population import order_funnel, order_outcomes
 from tidemark.operators.preprocessing import HistoryPreprocessor, PreprocessingModel, contract_differences
@@ -57,7 +58,8 @@ def orders_job(
     """Centroids, the analytical table, outcomes and the funnel; all or none become visible.
 
     Orders without items or payments cannot be described and are left out of the analytical
-    table; outcomes are published for exactly the orders that were kept. Returns the funnel.
+    table; outcomes are published for exactly the orders that were kept. Every raw order gets one
+    exit reason, and nothing is published unless all counts follow from those. Returns the funnel.
     """
     configure(spark)
     window = calendar.analysis
@@ -66,14 +68,15 @@ def orders_job(
     analytical = materialize(orders_analytical(raw, window, zips, states))
     outcomes = order_outcomes(raw.orders, window).join(analytical.select("order_id"), "order_id", "left_semi")
     funnel = order_funnel(raw.orders, window)
+    exits = materialize(order_exits(raw, window, analytical))
 
     def check(written: Mapping[str, DataFrame]) -> None:
         contract.enforce(
             written["orders_analytical"], expected or contract.analytical_contract(), "orders_analytical"
         )
-        contract.require_agreement(
-            {name: written[name] for name in ("orders_analytical", "order_outcomes")}
-        )
+        contract.enforce(written["order_outcomes"], contract.outcome_contract(), "order_outcomes")
+        tables = {name: written[name] for name in ("orders_analytical", "order_outcomes")}
+        contract.require_conservation(conservation(written["order_exits"], written["funnel"], tables))
 
     written = publish_all(
         spark,
@@ -84,6 +87,7 @@ def orders_job(
             "orders_analytical": analytical.repartitionByRange(*TIME_ORDER),
             "order_outcomes": outcomes,
             "funnel": funnel.coalesce(1),
+            "order_exits": exits,
         },
         check=check,
     )
