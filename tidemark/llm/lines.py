@@ -3,22 +3,21 @@
 A line is the set of its lower-cased words. A line is removed if any earlier line (by doc_id, then
 line number) has a Jaccard similarity of 0.8 or more with it; lines without words stay.
 
-Words are ordered by rarity: the rarity of a word is the count of its hash bucket over all lines,
-one of ``2**BUCKET_BITS``, so the order is known from a table of fixed size. Lines with equal sets
-are one set, placed at their first line. Two similar sets share a word in their prefixes, the
-first ``n - ceil(0.8 n) + 1`` words; a pair that shares one is a candidate if the sizes allow the
+Words are ordered by rarity: the class (three an octave) of the number of lines that use a word's
+hash bucket, one of ``2**BUCKET_BITS``, so the order is known from a table of fixed size. Lines with
+equal sets are one set, placed at their first line. Two similar sets share a word in their prefixes,
+the first ``n - ceil(0.8 n) + 1`` words; a pair that shares one is a candidate if the sizes allow the
 similarity (length filter), if the words left after the shared ones could still reach the overlap
 (positional filter), and if the parity maps of the sets (64 bits, 128 or 256 for large sets) differ
-in no more bits than similar sets can. All three lose no similar pair. Candidates are verified on their whole sets. Sets of up
-to three words only match equal ones.
+in no more bits than similar sets can. All three lose no similar pair. Candidates are verified on
+their whole sets. Sets of up to three words only match equal ones.
 
-Before the join, sets with the same smallest word under a random order are compared with the
+Before the join, sets with the same first word under one of two random orders are compared with the
 earliest of them. What that removes has found its earlier match and looks for no other; it stays
 in the index for later lines. A large group of variants of one line so costs a row a variant, not
 a row a pair. The join itself sends the index once and reads it for both sides.
 
-Cutting, hashing and ordering the words of a line is done on Arrow batches; grouping, joins and
-verification are DataFrame operations.
+All of it is DataFrame operations. The rarity classes, one byte a bucket, are a literal of the plan.
 
 Defined results: null text has no lines; repeated rows of one doc_id count as one; other columns
 are kept by :func:`without_repeats` and ignored by :func:`repeats`; an empty table gives an empty
@@ -27,141 +26,104 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import set_aside
-from tidemark.llm.words import NOT_WHITE, hash_spans, mix, text_blocks, word_spans
 from tidemark.session import materialize
 
 BUCKET_BITS = 18
-#: Random orders under which sets with the same smallest word meet the earliest one.
-ORDERS = 2
-#: Lines to look up (about 20 bytes each) that may be broadcast; more are shuffled.
-BROADCAST_LINES = 1_000_000
 #: Sets above these sizes carry a parity map of 128 and of 256 bits.
 WIDE, WIDEST = 40, 100
 _MAPS = ("map", "map2", "map3", "map4")
 _HUB = ("doc", "line", "size", *_MAPS)
 _AT = (*_HUB, "place")
 _PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
-_BUCKETS = np.uint64((1 << BUCKET_BITS) - 1)
-_SET = "doc long, line int, size int, key_a long, key_b long, map long, map2 long, map3 long, map4 long, least array<long>, prefix array<int>"
+_BUCKETS = (1 << BUCKET_BITS) - 1
+#: A character that is no white space.
+_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _text(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.lower("text").alias("text"))
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc and text, lower-cased, its lines ending at \\n and all other white space made blanks."""
+    text = F.lower("text")
+    others = [text.contains(c) for c in "\t\r\x0b\x0c"]
+    blank = F.when(others[0] | others[1] | others[2] | others[3], F.translate(text, "\t\r\x0b\x0c", "    ")).otherwise(text)
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), blank.alias("text"))
 
 
-def _cut(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, the text of each and its line number there."""
-    starts, ends, at = word_spans(data, bounds, NOT_WHITE)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(at))
-    breaks = np.flatnonzero(data == 10)
-    line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, bounds[:-1])[text]
-    return starts, ends, text, line
+def _lines(texts: DataFrame, *carried: str) -> DataFrame:
+    """doc, line (from 0) and content of every line that has words."""
+    lines = texts.select("doc", *carried, F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    return lines.where(F.col("content").rlike("[^ ]"))
 
 
-def _begins(*keys: np.ndarray) -> np.ndarray:
-    """Where any key differs from the entry before; the first entry begins too."""
-    new = np.ones(len(keys[0]), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return new
+def _words(content: str) -> Column:
+    """Hashes of the distinct words between blanks."""
+    hashes = F.transform(F.split(content, " "), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Uses of every hash bucket in the words of a task."""
-    total = np.zeros(1 << BUCKET_BITS, np.int64)
-    for batch in batches:
-        for _, _, data, bounds in text_blocks(batch.column("text")):
-            starts, ends, _ = word_spans(data, bounds, NOT_WHITE)
-            buckets = (hash_spans(data, starts, ends, fold=False) & _BUCKETS).astype(np.int64)
-            total += np.bincount(buckets, minlength=1 << BUCKET_BITS)
-    used = np.flatnonzero(total)
-    for some in np.array_split(used, max(1, len(used) >> 14)):
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["bucket", "uses"])
-
-
-def _rarity(docs: DataFrame) -> np.ndarray:
-    """The rarity rank of every bucket."""
-    counted = docs.mapInArrow(_count, "bucket int, uses long").groupBy("bucket").agg(F.sum("uses").alias("uses"))
+def _rarity(lines: DataFrame) -> bytes:
+    """The rarity class of every bucket, three an octave of the lines that use it."""
+    used = lines.select(F.explode(_words("content")).alias("word")).select(F.col("word").bitwiseAND(_BUCKETS).alias("bucket"))
     # One row per bucket at most, whatever the table's size.
-    found = counted.toArrow()
-    uses = np.zeros(1 << BUCKET_BITS, np.int64)
-    uses[found["bucket"].to_numpy()] = found["uses"].to_numpy()
-    ranks = np.empty(1 << BUCKET_BITS, np.uint64)
-    ranks[np.argsort(uses, kind="stable")] = np.arange(1 << BUCKET_BITS, dtype=np.uint64)
-    return ranks
+    found = used.groupBy("bucket").agg(F.count("*").alias("uses")).toArrow()
+    classes = np.zeros(1 << BUCKET_BITS, np.uint8)
+    uses = found["uses"].to_numpy()
+    classes[found["bucket"].to_numpy()] = np.minimum(3 * np.log2(uses), 127).astype(np.uint8)
+    return classes.tobytes()
+
+
+def _code(word: Column, rarity: Column) -> Column:
+    """A number that puts words of rarer buckets first; the hash decides within a class."""
+    place = word.bitwiseAND(_BUCKETS).cast("int") + 1
+    level = F.ascii(F.substring(rarity, place, F.lit(1)).cast("string")).cast("long")
+    return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(word, 8))
+
+
+def _parity(bits: Callable[[Column], Column]) -> Column:
+    """Every word whose lowest bit of ``bits`` is set turns over one of 64 bits."""
+    return F.aggregate(
+        "words",
+        F.lit(0).cast("long"),
+        lambda seen, w: seen.bitwiseXOR(F.call_function("shiftleft", bits(w).bitwiseAND(1), w.bitwiseAND(63).cast("int"))),
+    )
 
 
-def _parity(words: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """Parity maps of the sets that begin at ``at``: every word turns over one of 256 bits.
+def _maps() -> list[Column]:
+    """Parity maps: every word turns over one of 256 bits.
 
     The quarters are kept folded: the first map is all four over each other (64 bits), the second
     opens it to 128 bits, the third and fourth to 256; those that a small set needs not are 0.
     """
-    bit, quarter = np.uint64(1) << (words & np.uint64(63)), (words >> np.uint64(6)) & np.uint64(3)
-    q = [np.bitwise_xor.reduceat(np.where(quarter == np.uint64(k), bit, np.uint64(0)), at) for k in range(4)]
-    wide, widest = size > WIDE, size > WIDEST
-    folded = (q[0] ^ q[1] ^ q[2] ^ q[3], (q[1] ^ q[3]) * wide, q[2] * widest, q[3] * widest)
-    return [m.view(np.int64) for m in folded]
-
-
-def _sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]:
-    """The set of every line that has words; columns of ``_SET``."""
-    ranks = rarity.value
-    for batch in batches:
-        docs = batch.column("doc")
-        for first, last, data, bounds in text_blocks(batch.column("text")):
-            starts, ends, text, line = _cut(data, bounds)
-            if not len(starts):
-                continue
-            words = hash_spans(data, starts, ends, fold=False)
-            # Rarer buckets first; other bits of the hash decide within one.
-            codes = (ranks[words & _BUCKETS] << np.uint64(64 - BUCKET_BITS)) | (words >> np.uint64(BUCKET_BITS))
-            number = np.cumsum(_begins(text, line)) - 1
-            order = np.lexsort((codes, number))
-            words, codes, number, text, line = words[order], codes[order], number[order], text[order], line[order]
-            # Bucket and other bits are the whole hash, so equal codes are equal hashes.
-            once = _begins(number, codes)
-            words, codes, number, text, line = words[once], codes[once], number[once], text[once], line[once]
-            at = np.flatnonzero(_begins(number))
-            size = np.diff(np.append(at, len(number)))
-            shared = np.where(size > 3, size - (4 * size + 4) // 5 + 1, 0)
-            place = np.arange(len(number)) - np.repeat(at, size)
-            prefix = (codes[place < np.repeat(shared, size)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            sums = [np.add.reduceat(mix(words + np.uint64(seed)), at).view(np.int64) for seed in (101, 202)]
-            maps = _parity(words, at, size)
-            least = np.stack([np.minimum.reduceat(mix(words ^ np.uint64(303 + k)), at) + np.uint64(k) for k in range(ORDERS)], 1).view(np.int64)
-            least = pa.array(least.ravel()), pa.array(np.arange(len(at) + 1, dtype=np.int32) * ORDERS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    docs.take(pa.array(text[at] + first)),
-                    pa.array(line[at], pa.int32()),
-                    pa.array(size, pa.int32()),
-                    *map(pa.array, sums),
-                    *map(pa.array, maps),
-                    pa.ListArray.from_arrays(least[1], least[0]),
-                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared)), pa.int32()), pa.array(prefix)),
-                ],
-                ["doc", "line", "size", "key_a", "key_b", *_MAPS, "least", "prefix"],
-            )
-
-
-def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of the lines that have words, of every document."""
-    for batch in batches:
-        for first, last, data, bounds in text_blocks(batch.column("text")):
-            _, _, text, line = _cut(data, bounds)
-            one = _begins(text, line) if len(text) else np.zeros(0, bool)
-            upto = np.searchsorted(text[one], np.arange(last - first + 1))
-            lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(line[one], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc").slice(first, last - first), lists], ["doc", "lines"])
+    none = F.lit(0).cast("long")
+    odd, high = (lambda w: F.shiftrightunsigned(w, 6)), (lambda w: F.shiftrightunsigned(w, 7))
+    return [
+        _parity(lambda _: F.lit(1).cast("long")).alias("map"),
+        F.when(F.col("size") > WIDE, _parity(odd)).otherwise(none).alias("map2"),
+        F.when(F.col("size") > WIDEST, _parity(lambda w: high(w).bitwiseAND(F.bitwise_not(odd(w))))).otherwise(none).alias("map3"),
+        F.when(F.col("size") > WIDEST, _parity(lambda w: high(w).bitwiseAND(odd(w)))).otherwise(none).alias("map4"),
+    ]
+
+
+def _sets(lines: DataFrame, rarity: bytes) -> DataFrame:
+    """The first line of every set, with what the filters and the join need of it."""
+    sized = lines.select("doc", "line", F.sort_array(_words("content")).alias("words")).withColumn("size", F.size("words"))
+    table = F.lit(rarity)
+    codes = F.sort_array(F.transform("words", lambda w: _code(w, table)))
+    shared = F.col("size") - F.floor((4 * F.col("size") + 4) / 5).cast("int") + 1
+    prefix = F.when(F.col("size") > 3, F.slice(codes, 1, shared)).otherwise(F.expr("cast(array() as array<bigint>)"))
+    # The smallest and the largest hash: the first words under two opposite random orders.
+    ends = F.array(F.array_min("words"), F.array_max("words").bitwiseXOR(1))
+    keyed = sized.select(
+        "doc", "line", "size", F.xxhash64("words").alias("key_a"), F.xxhash64(F.lit(1), "words").alias("key_b"), *_maps(), ends.alias("least"), prefix.alias("prefix")
+    )
+    first = F.min(F.struct("doc", "line", *_MAPS, "least", "prefix")).alias("at")
+    return keyed.groupBy("key_a", "key_b", "size").agg(first).select("size", "at.*")
 
 
 def _may_match(a_place: Column, b_place: Column) -> Column:
@@ -180,17 +142,12 @@ def _may_match(a_place: Column, b_place: Column) -> Column:
     return earlier & sizes & (9 * left >= 4 * (a + b)) & (9 * apart <= a + b)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The later line of each pair that holds on whole sets."""
-    ends = pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line")).union(pairs.select("b_doc", "b_line")).distinct()
-    ends = materialize(ends)
-    wanted = ends.groupBy("doc").agg(F.collect_set("line").alias("wanted"))
-    wanted = F.broadcast(wanted) if ends.count() <= BROADCAST_LINES else wanted
-    lines = docs.join(wanted, "doc").select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    parts = F.split(F.translate("content", "\t\r\x0b\x0c", "    "), " ")
-    words = F.array_distinct(F.array_remove(F.transform(parts, lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
-    sets = lines.where(F.array_contains("wanted", F.col("line"))).select("doc", "line", words.alias("words"))
-    sets = materialize(sets.dropDuplicates(["doc", "line"]))
+    ends = pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line")).union(pairs.select("b_doc", "b_line"))
+    wanted = materialize(ends.distinct().groupBy("doc").agg(F.collect_set("line").alias("wanted")))
+    lines = _lines(texts.join(wanted, "doc"), "wanted").where(F.array_contains("wanted", F.col("line")))
+    sets = materialize(lines.select("doc", "line", _words("content").alias("words")).dropDuplicates(["doc", "line"]))
     left = sets.select(*(F.col(c).alias(f"a_{c}") for c in ("doc", "line", "words")))
     right = sets.select(*(F.col(c).alias(f"b_{c}") for c in ("doc", "line", "words")))
     common = F.size(F.array_intersect("a_words", "b_words"))
@@ -226,12 +183,9 @@ def _meet_all(sets: DataFrame, gone: DataFrame) -> DataFrame:
 
 def _kept(docs: DataFrame) -> DataFrame:
     """doc and line of every set's first line that resembles no earlier one."""
-    texts = _text(docs)
-    rarity = docs.sparkSession.sparkContext.broadcast(_rarity(texts))
-    lines = texts.mapInArrow(partial(_sets, rarity=rarity), _SET)
-    sets = materialize(
-        lines.groupBy("key_a", "key_b", "size").agg(F.min(F.struct("doc", "line", *_MAPS, "least", "prefix")).alias("at")).select("size", "at.*")
-    )
+    texts = _texts(docs)
+    lines = _lines(texts)
+    sets = materialize(_sets(lines, _rarity(lines)))
     gone = materialize(_verify(materialize(_meet_earliest(sets)), texts))
     rest = materialize(_meet_all(sets, gone))
     gone = gone.unionByName(_verify(rest, texts))
@@ -241,10 +195,13 @@ def _kept(docs: DataFrame) -> DataFrame:
 def _removed(docs: DataFrame) -> DataFrame:
     """doc_id, lines (numbers of those that have words) and kept (of those that stay)."""
     kept = _kept(docs).groupBy(F.col("doc").alias("of")).agg(F.collect_list("line").alias("kept"))
-    worded = _text(docs).mapInArrow(_worded, "doc long, lines array<int>")
-    worded = worded.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
+    contents = F.split("text", "\n")
+    numbers = F.sequence(F.lit(0), F.size(contents) - 1)
+    worded = F.when(F.col("text").isNotNull(), F.filter(numbers, lambda i: F.get(contents, i).rlike(_WORD)))
     none = F.expr("cast(array() as array<int>)")
-    return worded.join(kept, F.col("doc").eqNullSafe(F.col("of")), "left").select(
+    found = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(worded, none).alias("lines"))
+    found = found.groupBy("doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
+    return found.join(kept, F.col("doc").eqNullSafe(F.col("of")), "left").select(
         F.col("doc").alias("doc_id"), "lines", F.coalesce("kept", none).alias("kept")
     )
 
