@@ -142,7 +142,7 @@ def build_matrix(
     orders = read_published(spark, root, "orders_analytical")
     ledger = read_published(spark, root, "snapshots")
     splits.require_temporal_order(orders, calendar, version)
-    snapshots = asof.levels_of(ledger)
+    snapshots = asof.stored_levels(ledger)
     estimator = HistoryPreprocessor(ledger, windows.aggregates_through, windows.fit.end, regions)
     model = estimator.fit(asof.attach_history(splits.select_window(orders, windows.fit), snapshots))
     labels = read_published(spark, root, "order_outcomes").select(
