@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import metrics as m
 
@@ -107,3 +108,19 @@ def test_nearest_rank(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "ms double")
     assert m.nearest_rank(df, "ms") == 95.0
     assert m.nearest_rank(df.limit(1), "ms") == 1.0
+
+
+def test_many_frames_at_once_score_as_each_alone(spark):
+    rng = random.Random(5)
+    frames = {g: frame(spark, [rng.randint(0, 1) for _ in range(60)] + [1], [rng.randint(0, 9) for _ in range(61)]) for g in "abc"}
+    together = frames["a"].withColumn("g", F.lit("a"))
+    for g in "bc":
+        together = together.unionByName(frames[g].withColumn("g", F.lit(g)))
+    got = {r["g"]: r["pr_auc"] for r in m.pr_auc_by(together, "g").collect()}
+    assert got == {g: pytest.approx(m.pr_auc_value(df)) for g, df in frames.items()}
+
+
+def test_one_frame_without_positives_stops_them_all(spark):
+    bad = frame(spark, [0, 0], [1, 2]).withColumn("g", F.lit("b"))
+    with pytest.raises(ValueError):
+        m.pr_auc_by(frame(spark, [1, 0], [1, 2]).withColumn("g", F.lit("a")).unionByName(bad), "g")
