@@ -152,3 +152,31 @@ def test_inflight_keeps_quiet_months(spark):
     ).collect()
     counts = [(r["cutoff_month"].month, r["resolved_orders"], r["inflight_orders"]) for r in sorted(got)]
     assert counts == [(2, 0, 1), (3, 1, 0), (4, 1, 0), (5, 1, 0), (6, 2, 0)]
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_stored_levels_count_for_what_they_are(spark):
+    rows = [row(datetime(2017, 1 + i % 3, 5), seller=f"s{i:05d}") for i in range(3000)]
+    ledger = asof.snapshot_ledger(spark.createDataFrame(rows, RESOLVED), WINDOW)
+    stored = asof.stored_levels(ledger)
+    for level, plain in asof.levels_of(ledger).items():
+        assert stored[level].columns == plain.columns
+        assert stored[level].exceptAll(plain).isEmpty() and plain.exceptAll(stored[level]).isEmpty()
+    size = {level: int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for level, df in stored.items()}
+    assert size["seller_state"] * 5 < size["seller"]
+
+
+def test_a_level_without_rows_is_stored_too(spark):
+    rows = [row(datetime(2017, 1, 5), category=None)]
+    stored = asof.stored_levels(asof.snapshot_ledger(spark.createDataFrame(rows, RESOLVED), WINDOW))
+    assert stored["category"].count() == 0 and stored["seller"].count() == 3
+
+
+def test_recount_moves_orders_and_not_their_repeats(spark):
+    df = spark.createDataFrame([row(datetime(2017, 1, 5))], RESOLVED)
+    (only,) = exchanges(asof.recount_snapshot(df, WINDOW, "seller"))
+    assert "snapshot_month" not in only

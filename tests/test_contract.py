@@ -149,3 +149,18 @@ def test_payment_ties_go_to_the_first_name(spark):
     df = spark.createDataFrame(rows, "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value string")
     row = payment_rollup(df.withColumn("payment_value", F.col("payment_value").cast("decimal(10,2)"))).first()
     assert row["dominant_payment_type"] == "boleto" and row["n_payment_methods"] == 2 and row["max_installments"] == 2
+
+
+def test_rollup_moves_no_row_a_facet(spark):
+    items = spark.createDataFrame(
+        [("o", "p", "s", datetime(2017, 6, 1), "1.00", "2.00")],
+        "order_id string, product_id string, seller_id string, shipping_limit_date timestamp_ntz, price string, freight_value string",
+    ).withColumns({c_: F.col(c_).cast("decimal(10,2)") for c_ in ("price", "freight_value")})
+    products = spark.createDataFrame(
+        [("p", "c", 1, 2, 3, 4)],
+        "product_id string, product_category_name string, product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int",
+    )
+    sellers = spark.createDataFrame([("s", "A")], "seller_id string, seller_state string")
+    plan = order_rollup(items, products, sellers)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("facet" in line for line in moved)
