@@ -180,3 +180,15 @@ def test_recount_moves_orders_and_not_their_repeats(spark):
     df = spark.createDataFrame([row(datetime(2017, 1, 5))], RESOLVED)
     (only,) = exchanges(asof.recount_snapshot(df, WINDOW, "seller"))
     assert "snapshot_month" not in only
+
+
+def test_drift_reads_both_months_without_moving_orders(spark):
+    """Two attached frames of the same orders were joined on the order, which moved every order twice."""
+    from tests.conftest import SF_SMALL
+    from tidemark.plans.catalog import QUERIES
+
+    drift = QUERIES["history_drift"].run(spark, SF_SMALL)
+    plan = drift._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "order_id" in line]
+    shares = {r["feature"]: r["share_changed"] for r in drift.collect()}
+    assert len(shares) == 12 and 0 < shares["seller_order_count_hist"] <= 1

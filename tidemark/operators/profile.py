@@ -79,14 +79,18 @@ def history_columns() -> list[str]:
     return [f"{e.name}_{m}_hist" for e in ENTITIES for m in METRICS]
 
 
-def history_drift(first: DataFrame, second: DataFrame, key: str = "order_id") -> DataFrame:
+def history_drift(both: DataFrame, before: str) -> DataFrame:
     """How far history moves when the same orders read two different snapshots.
 
-    Per history column: share of rows changed and mean absolute change where both are known.
+    ``both`` carries either reading, one under the history columns' own names and one with ``before``
+    in front of them. Per history column: share of rows changed and mean absolute change where both
+    are known.
     """
     names = history_columns()
-    a = first.select(key, *[F.col(c).cast("double").alias(f"a_{c}") for c in names])
-    b = second.select(key, *[F.col(c).cast("double").alias(f"b_{c}") for c in names])
+    sides = both.select(
+        *[F.col(f"{before}{c}").cast("double").alias(f"a_{c}") for c in names],
+        *[F.col(c).cast("double").alias(f"b_{c}") for c in names],
+    )
     aggregates = []
     for c in names:
         changed = ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
@@ -104,7 +108,7 @@ def history_drift(first: DataFrame, second: DataFrame, key: str = "order_id") ->
             for c in names
         ]
     )
-    return a.join(b, key).agg(*aggregates).select(F.inline(rows))
+    return sides.agg(*aggregates).select(F.inline(rows))
 
 
 def review_impact(outcomes: DataFrame, per_order: DataFrame) -> DataFrame:

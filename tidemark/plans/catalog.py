@@ -612,13 +612,16 @@ def feature_corr(s: Stage) -> DataFrame:
 def history_drift(s: Stage) -> DataFrame:
     from datetime import date
 
-    def at(month: date) -> DataFrame:
-        rows = s.ledger.where(F.col("snapshot_month") == F.lit(str(month)).cast("timestamp_ntz"))
-        return asof.attach_latest(s.analytical, asof.stored_levels(rows), month)
-
     # Rates differ in the last bit between engines; compare what six places can show.
     rounded = {c: F.round(c, 9) for c in profile.history_columns()}
-    return profile.history_drift(at(date(1999, 1, 1)).withColumns(rounded), at(date(2000, 1, 1)).withColumns(rounded))
+
+    def at(orders: DataFrame, month: date) -> DataFrame:
+        rows = s.ledger.where(F.col("snapshot_month") == F.lit(str(month)).cast("timestamp_ntz"))
+        return asof.attach_latest(orders, asof.stored_levels(rows), month).withColumns(rounded)
+
+    # The second month is attached to what has the first, so that no order is moved to find itself.
+    first = at(s.analytical, date(1999, 1, 1)).withColumnsRenamed({c: f"before_{c}" for c in rounded})
+    return profile.history_drift(at(first, date(2000, 1, 1)), "before_")
 
 
 # --- windows and splits --------------------------------------------------------------------------
