@@ -391,3 +391,11 @@ def test_clashing_columns(docs):
     assert lines.without_repeats(extra).columns == extra.columns
     assert packing.pack_documents(extra).count() > 0 and sharding.shard(extra).count() == extra.count()
     assert surrogates.pseudonymize(extra, "k").count() == extra.count()
+
+
+def test_lines_are_numbered_from_one_split(spark):
+    """Each number looked its line up in a text split anew: the square of a text's lines."""
+    docs = spark.createDataFrame([(1, "one two\n \nthree\tfour\n"), (2, None), (3, "")], "doc_id long, text string")
+    found = lines._removed(docs)
+    assert ", -1)[" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["doc_id"]: r["lines"] for r in found.collect()} == {1: [0, 2], 2: [], 3: []}

@@ -195,9 +195,9 @@ def _kept(docs: DataFrame) -> DataFrame:
 def _removed(docs: DataFrame) -> DataFrame:
     """doc_id, lines (numbers of those that have words) and kept (of those that stay)."""
     kept = _kept(docs).groupBy(F.col("doc").alias("of")).agg(F.collect_list("line").alias("kept"))
-    contents = F.split("text", "\n")
-    numbers = F.sequence(F.lit(0), F.size(contents) - 1)
-    worded = F.when(F.col("text").isNotNull(), F.filter(numbers, lambda i: F.get(contents, i).rlike(_WORD)))
+    # The text is split once: a lookup by number would split it again for every line.
+    numbers = F.transform(F.split("text", "\n"), lambda line, i: F.when(line.rlike(_WORD), i))
+    worded = F.when(F.col("text").isNotNull(), F.array_compact(numbers))
     none = F.expr("cast(array() as array<int>)")
     found = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(worded, none).alias("lines"))
     found = found.groupBy("doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
