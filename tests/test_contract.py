@@ -164,3 +164,19 @@ def test_rollup_moves_no_row_a_facet(spark):
     plan = order_rollup(items, products, sellers)._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert moved and not any("facet" in line for line in moved)
+
+
+def test_rollup_sorts_by_a_hash_of_the_order(spark):
+    """Ids that share their first characters made every comparison of the sort a comparison of strings."""
+    items = spark.createDataFrame(
+        [("o", "p", "s", datetime(2017, 6, 1), "1.00", "2.00")],
+        "order_id string, product_id string, seller_id string, shipping_limit_date timestamp_ntz, price string, freight_value string",
+    ).withColumns({c_: F.col(c_).cast("decimal(10,2)") for c_ in ("price", "freight_value")})
+    products = spark.createDataFrame(
+        [("p", "c", 1, 2, 3, 4)],
+        "product_id string, product_category_name string, product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int",
+    )
+    rolled = order_rollup(items, products, spark.createDataFrame([("s", "A")], "seller_id string, seller_state string"))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "place" not in rolled.columns
+    assert "Sort [place" in plan and not any("Exchange" in line and "place" in line for line in plan.splitlines())

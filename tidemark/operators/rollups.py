@@ -57,8 +57,9 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
     shuffled product join, and leaves a single giant order only its distinct ones. These rows move
     once, to their order. There every one is spread over four facets (product, seller, seller
     state, category) and summed per (order, facet, member), so distinct counts become row counts;
-    both groupings begin with the order and stay where they are. The plain sums and maxima ride on
-    the seller facet, which every one has exactly once.
+    both groupings begin with the order and stay where they are. They begin with its hash, by which
+    rows are sorted without comparing ids that share their first characters. The plain sums and
+    maxima ride on the seller facet, which every one has exactly once.
     """
     lines = priced_items(items, products, sellers)
     pairs = lines.groupBy("order_id", "product_id", "seller_id", "seller_state", "category", "weight", "volume", "price").agg(
@@ -77,7 +78,7 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
             )
         ]
     )
-    spread = pairs.repartition("order_id").select("*", F.inline(facets)).where(
+    spread = pairs.repartition("order_id").select(F.xxhash64("order_id").alias("place"), "*", F.inline(facets)).where(
         F.col("member").isNotNull() | (F.col("facet") == SELLER)
     )
     once = F.col("facet") == SELLER
@@ -85,7 +86,7 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
     def riding(column: str) -> Column:
         return F.when(once, F.col(column))
 
-    members = spread.groupBy("order_id", "facet", "member").agg(
+    members = spread.groupBy("place", "order_id", "facet", "member").agg(
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("price")).alias("price"),
         F.max(riding("price")).alias("max_price"),
@@ -104,7 +105,7 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
         pick = F.struct((-F.col("price")).alias("w"), F.col("member").alias("m"))
         return F.min(F.when(F.col("facet") == facet, pick))["m"]
 
-    return members.groupBy("order_id").agg(
+    return members.groupBy("place", "order_id").agg(
         F.sum(F.when(once, F.col("n"))).cast("int").alias("n_items"),
         members_of(PRODUCT).alias("n_distinct_products"),
         members_of(SELLER).alias("n_distinct_sellers"),
@@ -119,7 +120,7 @@ def order_rollup(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
         F.max("deadline").alias("max_shipping_limit_date"),
         leading(SELLER).alias("seller_id"),
         leading(CATEGORY).alias("dominant_category"),
-    )
+    ).drop("place")
 
 
 def payment_rollup(payments: DataFrame) -> DataFrame:
