@@ -41,6 +41,17 @@ def test_slices_split_one_hot_key(spark):
     assert [r["rank"] for r in sorted(ranked, key=lambda r: r["id"])] == list(range(5000))
 
 
+def test_ranked_rows_move_once(spark):
+    """Into their slices, before they are written down; after that only one row a slice is put in order."""
+    rows = hot_rows()
+    ranked = global_rank(spark.createDataFrame(rows, "k int, id string, v int"), [F.col("k").desc(), "id"])
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1, plan
+    assert ranked.columns == ["k", "id", "v", "rank"]
+    got = {r["id"]: r["rank"] for r in ranked.collect()}
+    assert got == {ident: i for i, (_, ident, _) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
+
+
 def test_dominant_breaks_ties_by_name(spark):
     df = spark.createDataFrame(
         [("o", "b", 5), ("o", "a", 3), ("o", "a", 2), ("p", "z", 1), ("p", None, 9)], "g string, m string, w int"
