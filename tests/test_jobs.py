@@ -202,6 +202,16 @@ def test_search_has_no_time_cap_unless_asked(matrix, monkeypatch, caplog):
     assert learning.search(*args, 900.0)[0].trials_completed == 1 and "time cap" in caplog.text
 
 
+def test_tuning_codes_its_rows_once(matrix, monkeypatch):
+    made, plain = [], learning.coded
+    monkeypatch.setattr(learning, "coded", lambda *args: made.append(plain(*args)) or made[-1])
+    monkeypatch.setitem(learning.FIXED, "forest", {"numTrees": 3, "seed": learning.SEED})
+    tuned = jobs.tune_job(matrix, ("forest",), 2, folds=2)
+    assert len(made) == 1 and "class_weight" not in made[0].columns
+    assert {(r["model"], r["fold"]) for r in tuned.report.collect()} == {(m, f) for m in ("majority", "logistic", "forest") for f in (1, 2)}
+    assert tuned.trials.count() == 2 and tuned.weighting.count() == 2
+
+
 def test_linear_attributions_add_up_to_the_margin(matrix):
     out = jobs.explain_job(matrix, 50)
     assert out["attributions"].count() == 50

@@ -175,8 +175,10 @@ def tune_job(
     """Baselines and searched families on the same folds of the fit window. A time cap makes the
     parameters depend on the machine; when it strikes, that is logged."""
     ranked, n = splits.ranked_in_time(matrix.fit_rows())
-    folded = materialize(ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, folds)))
     levels = matrix.preprocessing.levels
+    # Coded once: every trial fits every fold anew.
+    coded = [learning.family_fitter(f, levels) for f in ("logistic", *families)]
+    folded = learning.coded(coded, ranked.withColumn("fold", splits.fold_of(F.col("rank"), n, folds)))
     rates = folds_of.usable_rates(folded, folds)
     scores = {
         "majority": learning.cross_validate(folded, learning.majority_fitter(), folds),
